@@ -1,6 +1,6 @@
 """The registered queries: each operator over the given tables, next to its DuckDB text."""
 
-from caselake.catalog import layers, questions  # noqa: F401  (registers its queries)
+from caselake.catalog import layers, questions, stars  # noqa: F401  (registers its queries)
 from caselake.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

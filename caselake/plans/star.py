@@ -133,12 +133,17 @@ def lookup_key(
     return joined.withColumn(key, F.coalesce(key, F.lit(UNKNOWN)))
 
 
-def build_star(complaints: DataFrame, state_ref: DataFrame, write: Writer = materialise) -> dict[str, DataFrame]:
+def build_star(
+    complaints: DataFrame,
+    state_ref: DataFrame,
+    write: Writer = materialise,
+    days: tuple[date, date] = CALENDAR,
+) -> dict[str, DataFrame]:
     """Six dimensions and the fact of the raw star (K-D1..K-D7). Every dimension is a written
     table before the fact looks up its keys."""
     spark, source = complaints.sparkSession, source_view(complaints)
     star = {
-        "dim_date": write(dim_date(spark), "dim_date"),
+        "dim_date": write(dim_date(spark, *days), "dim_date"),
         "dim_company": write(dim_company_raw(source, write), "dim_company"),
         "dim_product": write(dim_product(source, write=write), "dim_product"),
         "dim_issue": write(dim_issue(source, write), "dim_issue"),
@@ -170,11 +175,15 @@ def build_star(complaints: DataFrame, state_ref: DataFrame, write: Writer = mate
 
 
 def build_marts(
-    silver: DataFrame, lookup: DataFrame, state_ref: DataFrame, write: Writer = materialise
+    silver: DataFrame,
+    lookup: DataFrame,
+    state_ref: DataFrame,
+    write: Writer = materialise,
+    days: tuple[date, date] = CALENDAR,
 ) -> dict[str, DataFrame]:
     """Four dimensions over Silver and a fact with degenerate issue, channel and response (K-D7)."""
     marts = {
-        "dim_date": write(dim_date(silver.sparkSession), "dim_date"),
+        "dim_date": write(dim_date(silver.sparkSession, *days), "dim_date"),
         "dim_company": write(dim_company(lookup, write), "dim_company"),
         "dim_product": write(dim_product(silver, "product_group", write), "dim_product"),
         "dim_state": write(dim_state(state_ref), "dim_state"),

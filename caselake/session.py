@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}  # application id -> folder, for local masters only
 
 # Settings every job needs for right results (time zone, ANSI) and for runtime re-planning.
 RUNTIME_CONF = {
@@ -52,10 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if not folder:
+        app = spark.sparkContext.applicationId
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="caselake-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="caselake-")
+        folder = _local_folders[app]
     return folder.rstrip("/")
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 SEED_FOLDER = Path(__file__).parent / "seed_data"
 # Seed file -> its columns, all text.
@@ -27,6 +27,7 @@ SEEDS = {
 def inline_relation(spark: SparkSession, rows: Sequence[Sequence], schema: str | StructType) -> DataFrame:
     """Literal rows as a local relation, so Catalyst knows the exact size."""
     struct = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    struct = StructType([StructField(f.name, f.dataType, True) for f in struct.fields])
     columns = list(zip(*rows)) if rows else [[] for _ in struct.fields]
     arrow = to_arrow_schema(struct)
     arrays = [pa.array(list(values), type=f.type) for values, f in zip(columns, arrow)]
