@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.functions.columns import safe_date, safe_long
+from caselake.session import spread
 from caselake.sources.files import COMPLAINT_TARGETS, conform
 
 PRODUCTS = [
@@ -75,7 +76,7 @@ def company_name(part_key: str = "p_partkey", part_name: str = "p_name") -> Colu
 
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text rows in the Bronze layout."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines, orders = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
     parts, customers = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
     rows = (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)

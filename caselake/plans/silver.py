@@ -126,8 +126,11 @@ SILVER_COLUMNS = [
 
 def build_company_lookup(bronze: DataFrame, seeds: dict[str, DataFrame], write=None) -> DataFrame:
     """The lookup as a written table: computed once, of known size for the join that follows."""
-    names = bronze.select(clean_text("company").alias("company_raw"))
-    lookup = company_lookup(company_names(names), seeds["company_map"])
+    spellings = company_names(bronze.select(clean_text("company").alias("company_raw")))
+    # written before the rules run: Catalyst would otherwise move a filter on their result below
+    # the distinct, and so apply every rule to every row
+    names = materialise(spellings, "company_names")
+    lookup = company_lookup(names, seeds["company_map"])
     return write(lookup) if write else materialise(lookup, "company_lookup")
 
 
