@@ -33,7 +33,7 @@ def count_kinds(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     )
 
 
-def distinct_combinations(df: DataFrame, columns: Sequence[str]) -> Column:
+def distinct_combinations(columns: Sequence[str]) -> Column:
     """Distinct count of a combination; a combination with a NULL part counts as well."""
     return F.count_distinct(F.struct(*columns))
 
@@ -138,7 +138,7 @@ def page(df: DataFrame, offset: int, rows: int, *order: Column) -> DataFrame:
 def reproducible_sample(df: DataFrame, row_id: str, size: int, seed: int = 42) -> DataFrame:
     """A fixed-size sample that depends only on ids and seed, not on the partitioning."""
     lot = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
-    return df.orderBy(lot, row_id).limit(size)
+    return df.orderBy(lot, *[F.asc_nulls_last(c) for c in df.columns]).limit(size)
 
 
 def first_and_last_seen(df: DataFrame, keys: Sequence[str], day: str, name: str = "n") -> DataFrame:

@@ -15,7 +15,7 @@ from caselake.functions.columns import (
 from caselake.operators.aggregates import joined_text, ratio_of_sums_and_mean_of_ratios
 from caselake.operators.joins import fan_out, lookup_join, orphan_count
 from caselake.operators.numbering import dense_keys
-from caselake.session import materialise
+from caselake.session import materialise, side_by_side
 from caselake.sources.relations import calendar, inline_relation
 
 Writer = Callable[[DataFrame, str], DataFrame]
@@ -142,14 +142,16 @@ def build_star(
     """Six dimensions and the fact of the raw star (K-D1..K-D7). Every dimension is a written
     table before the fact looks up its keys."""
     spark, source = complaints.sparkSession, source_view(complaints)
-    star = {
-        "dim_date": write(dim_date(spark, *days), "dim_date"),
-        "dim_company": write(dim_company_raw(source, write), "dim_company"),
-        "dim_product": write(dim_product(source, write=write), "dim_product"),
-        "dim_issue": write(dim_issue(source, write), "dim_issue"),
-        "dim_state": write(dim_state_seen(source, state_ref, write), "dim_state"),
-        "dim_response": write(dim_response(source, write), "dim_response"),
-    }
+    star = side_by_side(
+        {
+            "dim_date": lambda: write(dim_date(spark, *days), "dim_date"),
+            "dim_company": lambda: write(dim_company_raw(source, write), "dim_company"),
+            "dim_product": lambda: write(dim_product(source, write=write), "dim_product"),
+            "dim_issue": lambda: write(dim_issue(source, write), "dim_issue"),
+            "dim_state": lambda: write(dim_state_seen(source, state_ref, write), "dim_state"),
+            "dim_response": lambda: write(dim_response(source, write), "dim_response"),
+        }
+    )
     rows = lookup_key(source, star["dim_company"], "company_key", {"company": "company_name_raw"})
     rows = lookup_key(rows, star["dim_state"], "state_key", {"state": "state_code"})
     for name in ["product", "issue", "response"]:
@@ -182,12 +184,14 @@ def build_marts(
     days: tuple[date, date] = CALENDAR,
 ) -> dict[str, DataFrame]:
     """Four dimensions over Silver and a fact with degenerate issue, channel and response (K-D7)."""
-    marts = {
-        "dim_date": write(dim_date(silver.sparkSession, *days), "dim_date"),
-        "dim_company": write(dim_company(lookup, write), "dim_company"),
-        "dim_product": write(dim_product(silver, "product_group", write), "dim_product"),
-        "dim_state": write(dim_state(state_ref), "dim_state"),
-    }
+    marts = side_by_side(
+        {
+            "dim_date": lambda: write(dim_date(silver.sparkSession, *days), "dim_date"),
+            "dim_company": lambda: write(dim_company(lookup, write), "dim_company"),
+            "dim_product": lambda: write(dim_product(silver, "product_group", write), "dim_product"),
+            "dim_state": lambda: write(dim_state(state_ref), "dim_state"),
+        }
+    )
     rows = lookup_key(silver, marts["dim_company"], "company_key", {"company": "company_name"})
     products = marts["dim_product"].drop("product_group")
     rows = lookup_key(rows, products, "product_key", {"product": "product", "sub_product": "sub_product"}, True)

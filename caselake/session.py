@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}  # application id -> folder, for local masters only
 
@@ -87,3 +91,10 @@ def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def side_by_side(jobs: dict[str, Callable[[], T]], at_once: int = 4) -> dict[str, T]:
+    """Submit independent jobs from a few threads, so that a small one need not wait for the others."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: future.result() for name, future in futures.items()}
