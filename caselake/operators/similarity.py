@@ -18,6 +18,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caselake.session import materialise
 
@@ -57,7 +58,7 @@ def token_set_score(a: str, b: str) -> float:
     return best
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_set_scores(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_score(x, y) for x, y in zip(a, b)], dtype="float64")
 
