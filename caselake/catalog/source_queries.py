@@ -31,7 +31,16 @@ DISPLAY = {
 }
 ABSENT = ["company_public_response", "tags", "consumer_consent_provided"]
 EXTRA = ["Row colour"]
-NOW = datetime(2001, 6, 15)
+NOW = datetime(2001, 9, 1)
+
+
+# In a file an empty text is a missing value, quoted or not.
+FILE_RAW_SQL = (
+    RAW_SQL.replace("raw AS (", "values_ AS (", 1)
+    + ",\nraw AS (SELECT "
+    + ", ".join(f"nullif({c}, '') AS {c}" for c in FL.COMPLAINT_TARGETS)
+    + ", _ingested_at, _source_file, _batch_id FROM values_)"
+)
 
 
 @lru_cache(maxsize=8)
@@ -62,7 +71,7 @@ def _(spark, sf):
     return FL.profile_inferred_csv(spark, path, "o_orderkey", "o_orderdate")
 
 
-@query("a3_conform_headers", f"WITH {TYPED_SQL} SELECT * FROM complaints")
+@query("a3_conform_headers", f"WITH {TYPED_SQL.replace(RAW_SQL, FILE_RAW_SQL)} SELECT * FROM complaints")
 def _(spark, sf):
     return FL.conform(FL.read_raw_csv(spark, raw_file(spark, sf))).df
 
@@ -70,7 +79,7 @@ def _(spark, sf):
 BRONZE_COLUMNS = ", ".join(FL.COMPLAINT_TARGETS)
 
 
-@query("a4_bronze_columns", f"WITH {RAW_SQL} SELECT {BRONZE_COLUMNS} FROM raw")
+@query("a4_bronze_columns", f"WITH {FILE_RAW_SQL} SELECT {BRONZE_COLUMNS} FROM raw")
 def _(spark, sf):
     return B.to_bronze(FL.read_raw_csv(spark, raw_file(spark, sf))).df
 
@@ -95,7 +104,7 @@ def _landed_twice(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return B.write_batch(landed, path, log), B.read_log(spark, log)
 
 
-@query("a6_replaced_batches", f"WITH {RAW_SQL} SELECT {BRONZE_COLUMNS} FROM raw")
+@query("a6_replaced_batches", f"WITH {FILE_RAW_SQL} SELECT {BRONZE_COLUMNS} FROM raw")
 def _(spark, sf):
     # the same files land twice: nothing is doubled
     return _landed_twice(spark, sf)[0].select(*FL.COMPLAINT_TARGETS)
@@ -108,7 +117,7 @@ def _(spark, sf):
     return log.groupBy("missing_columns", "extra_columns").agg(F.sum("row_count").alias("row_count"))
 
 
-@query("a7_snapshot", f"WITH {RAW_SQL} SELECT {BRONZE_COLUMNS} FROM raw")
+@query("a7_snapshot", f"WITH {FILE_RAW_SQL} SELECT {BRONZE_COLUMNS} FROM raw")
 def _(spark, sf):
     path = scratch_path(spark, "snapshots")
     B.write_snapshot(B.land_csv(spark, raw_file(spark, sf), F.lit(NOW)).df, path)
@@ -147,7 +156,7 @@ def _(spark, sf):
 _INGESTED = f"""CASE WHEN l_linenumber <= 4 THEN TIMESTAMP '{BATCHES["batch-a"]}' ELSE TIMESTAMP '{BATCHES["batch-b"]}' END"""
 
 
-@query("a16_layered_run", GOLD_SQL.replace(_INGESTED, f"TIMESTAMP '{NOW}'") + " SELECT * FROM scorecard")
+@query("a16_layered_run", GOLD_SQL.replace(RAW_SQL, FILE_RAW_SQL).replace(_INGESTED, f"TIMESTAMP '{NOW}'") + " SELECT * FROM scorecard")
 def _(spark, sf):
     warehouse = Warehouse(scratch_path(spark, "warehouse"))
     run_layers(spark, warehouse, raw_file(spark, sf), snapshot=True, now=NOW)
