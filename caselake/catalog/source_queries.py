@@ -71,6 +71,13 @@ def _(spark, sf):
     return FL.profile_inferred_csv(spark, path, "o_orderkey", "o_orderdate")
 
 
+@query("a2_typed_profile", f"""WITH {TYPED_SQL}
+SELECT count(*) AS total_rows, count(DISTINCT complaint_id) AS distinct_ids, min(date_received) AS first_date,
+  max(date_received) AS last_date FROM complaints""")
+def _(spark, sf):
+    return FL.profile_line(typed_table(spark, sf), "complaint_id", "date_received")
+
+
 @query("a3_conform_headers", f"WITH {TYPED_SQL.replace(RAW_SQL, FILE_RAW_SQL)} SELECT * FROM complaints")
 def _(spark, sf):
     return FL.conform(FL.read_raw_csv(spark, raw_file(spark, sf))).df

@@ -10,7 +10,8 @@ from caselake.catalog.standin import sql_text, table
 from caselake.functions import scoring as SC
 from caselake.operators.similarity import company_candidates
 from caselake.plans import gold as G
-from caselake.session import materialise, spread
+from caselake.session import materialise, scratch_path, spread
+from caselake.sources.files import export_csv, read_raw_csv
 
 # Words that do occur in the documents, in the shape of the posting signals.
 DOCUMENT_SIGNALS = [
@@ -72,6 +73,18 @@ def _(spark, sf):
     return SC.score_postings(postings).select(F.col("id").alias("doc_id"), "score", "evidence", "label")
 
 
+@query("m3_scored_csv", _score_sql(DOCUMENT_SIGNALS, CONTEXT, "text", "source").replace(
+    "SELECT *, CASE WHEN", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(score AS VARCHAR) AS score, CASE WHEN"
+))
+def _(spark, sf):
+    # the labelled list written as CSV and read back
+    documents = spread(table(spark, sf, "documents")).select("doc_id", "text", "source")
+    scored = SC.score_text(documents, "text", "source", DOCUMENT_SIGNALS, CONTEXT)
+    path = scratch_path(spark, "scored_csv")
+    export_csv(scored.select("doc_id", "score", SC.score_label("score").alias("label")), path)
+    return read_raw_csv(spark, path)
+
+
 @query("j10_company_candidates")
 def _(spark, sf):
     # no SQL text: the score has no DuckDB function; tests compare it with all pairs by brute force
