@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,15 @@ class Check(NamedTuple):
     severity: str = ERROR
 
 
+class RowCheck(NamedTuple):
+    """A check that looks at one row at a time: all such checks of a table share one scan."""
+
+    name: str
+    rows: DataFrame
+    is_bad: Column
+    severity: str = ERROR
+
+
 class Result(NamedTuple):
     name: str
     severity: str
@@ -61,18 +71,27 @@ def relationships(child: DataFrame, parent: DataFrame, child_key: str, parent_ke
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Values outside the list, with their number of rows (L3)."""
-    outside = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
-    return outside.groupBy(column).agg(F.count("*").alias("n"))
+    return df.filter(is_unlisted(column, values)).groupBy(column).agg(F.count("*").alias("n"))
 
 
 def accepted_range(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
     """Values below ``low`` or above ``high``; both are allowed values, NULL is ignored (L4)."""
+    return df.filter(is_outside(column, low, high)).select(F.col(column).alias("failing_value"))
+
+
+def is_outside(column: str, low=None, high=None) -> Column:
+    """True for a known value below ``low`` or above ``high``."""
     value, outside = F.col(column), F.lit(False)
     if low is not None:
         outside = outside | (value < F.lit(low))
     if high is not None:
         outside = outside | (value > F.lit(high))
-    return df.filter(value.isNotNull() & outside).select(value.alias("failing_value"))
+    return value.isNotNull() & outside
+
+
+def is_unlisted(column: str, values: Sequence) -> Column:
+    """True for a known value outside the list."""
+    return F.col(column).isNotNull() & ~F.col(column).isin(*values)
 
 
 def bronze_reconciles(bronze: DataFrame, staged: DataFrame, silver: DataFrame) -> DataFrame:
@@ -156,19 +175,24 @@ def recent_rows(silver: DataFrame, days: int = 7) -> DataFrame:
     )
 
 
-def run_checks(checks: Sequence[Check]) -> list[Result]:
+def run_checks(checks: Sequence[Check | RowCheck]) -> list[Result]:
     """Count the bad rows of every check: one number per check reaches the driver."""
-    if not checks:
-        return []
-    counts = None
+    counts: list[DataFrame] = []
+    by_table: dict[int, list[int]] = {}
     for i, check in enumerate(checks):
-        part = check.bad_rows.agg(F.lit(i).alias("i"), F.count("*").alias("n"))
-        counts = part if counts is None else counts.unionByName(part)
-    found = {row["i"]: row["n"] for row in counts.collect()}
+        if isinstance(check, RowCheck):
+            by_table.setdefault(id(check.rows), []).append(i)
+        else:
+            counts.append(check.bad_rows.agg(F.lit(i).alias("i"), F.count("*").alias("n")))
+    for members in by_table.values():
+        wide = checks[members[0]].rows.agg(*[F.count_if(checks[i].is_bad).alias(f"c{i}") for i in members])
+        pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("n")) for i in members])
+        counts.append(wide.select(F.inline(pairs)))
+    found = {row["i"]: row["n"] for row in reduce(DataFrame.unionByName, counts).collect()} if counts else {}
     return [Result(c.name, c.severity, found[i]) for i, c in enumerate(checks)]
 
 
-def gate(checks: Sequence[Check]) -> list[Result]:
+def gate(checks: Sequence[Check | RowCheck]) -> list[Result]:
     """Run the checks and stop if an error-level one fails; warnings are only reported."""
     results = run_checks(checks)
     failed = [f"{r.name}: {r.bad_rows} bad rows" for r in results if r.severity == ERROR and not r.passed]

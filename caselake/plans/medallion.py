@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import time
-from datetime import datetime
+from datetime import date, datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.operators import checks as K
@@ -20,7 +20,7 @@ from caselake.sources.relations import load_seeds, replace_table
 LAYERS = ["bronze", "silver", "gold"]
 # Submission channels that are known.
 CHANNELS = ["Web", "Referral", "Phone", "Postal mail", "Fax", "Email", "Web Referral", "Unknown"]
-FIRST_DAY = "2011-12-01"
+FIRST_DAY = date(2011, 12, 1)
 
 
 class Warehouse(NamedTuple):
@@ -48,45 +48,49 @@ def tables(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def bronze_checks(bronze: DataFrame, now: datetime) -> list[K.Check]:
+def bronze_checks(bronze: DataFrame, now: datetime) -> list[K.Check | K.RowCheck]:
     return [
-        K.Check("bronze batch id is set", K.not_null(bronze, "_batch_id")),
-        K.Check("bronze complaint_id is set", K.not_null(bronze, "complaint_id"), K.WARN),
-        K.Check("bronze is at most 30 days old", K.freshness_violations(bronze, now, K.ERROR), K.WARN),
+        K.RowCheck("bronze batch id is set", bronze, F.col("_batch_id").isNull()),
+        K.RowCheck("bronze complaint_id is set", bronze, F.col("complaint_id").isNull(), K.WARN),
+        K.Check("bronze is at most 7 days old", K.freshness_violations(bronze, now, K.WARN), K.WARN),
+        K.Check("bronze is at most 30 days old", K.freshness_violations(bronze, now, K.ERROR)),
     ]
 
 
 def silver_checks(
-    bronze: DataFrame, silver: DataFrame, rejected: DataFrame, lookup: DataFrame, seeds: dict[str, DataFrame],
-    first_day: str = FIRST_DAY,
-) -> list[K.Check]:
+    bronze: DataFrame,
+    silver: DataFrame,
+    rejected: DataFrame,
+    lookup: DataFrame,
+    seeds: dict[str, DataFrame],
+    today: date,
+) -> list[K.Check | K.RowCheck]:
+    def missing(column: str) -> Column:
+        return F.col(column).isNull()
+
     return [
+        K.RowCheck("complaint_id is set", silver, missing("complaint_id")),
+        K.RowCheck("date_received is set", silver, missing("date_received")),
+        K.RowCheck("date_received is in range", silver, K.is_outside("date_received", FIRST_DAY, today), K.WARN),
+        K.RowCheck("product_group is set", silver, missing("product_group")),
+        K.RowCheck("company is set", silver, missing("company"), K.WARN),
+        K.RowCheck("channel is known", silver, K.is_unlisted("submitted_via", CHANNELS), K.WARN),
+        K.RowCheck("days_to_send is not negative", silver, K.is_outside("days_to_send", low=0), K.WARN),
+        K.RowCheck("reject_reason is known", rejected, K.is_unlisted("reject_reason", REJECT_REASONS)),
         K.Check("complaint_id is unique", K.unique(silver, "complaint_id")),
-        K.Check("complaint_id is set", K.not_null(silver, "complaint_id")),
-        K.Check("date_received is set", K.not_null(silver, "date_received")),
-        K.Check(
-            "date_received is in range",
-            K.accepted_range(silver.select(F.col("date_received").cast("string")), "date_received", low=first_day),
-            K.WARN,
-        ),
-        K.Check("product_group is set", K.not_null(silver, "product_group")),
         K.Check(
             "product_group is listed",
             K.relationships(silver, seeds["product_map"], "product_group", "product_group"),
             K.WARN,
         ),
-        K.Check("company is set", K.not_null(silver, "company"), K.WARN),
         K.Check("state is listed", K.relationships(silver, seeds["state_ref"], "state", "state_code")),
-        K.Check("channel is known", K.accepted_values(silver, "submitted_via", CHANNELS), K.WARN),
-        K.Check("days_to_send is not negative", K.accepted_range(silver, "days_to_send", low=0), K.WARN),
-        K.Check("reject_reason is known", K.accepted_values(rejected, "reject_reason", REJECT_REASONS)),
         K.Check("company_raw is unique in the lookup", K.unique(lookup, "company_raw")),
         K.Check("no merge across legal forms", K.merged_across_legal_forms(lookup)),
         K.Check("bronze rows are all accounted for", K.bronze_reconciles(bronze, stage(bronze), silver)),
     ]
 
 
-def gold_checks(silver: DataFrame, gold: dict[str, DataFrame]) -> list[K.Check]:
+def gold_checks(silver: DataFrame, gold: dict[str, DataFrame]) -> list[K.Check | K.RowCheck]:
     every = F.lit(True)
     totals = {
         "monthly_product_stats": (gold["monthly_product_stats"], "complaints", every),
@@ -96,7 +100,7 @@ def gold_checks(silver: DataFrame, gold: dict[str, DataFrame]) -> list[K.Check]:
     return [
         K.Check("gold totals add back to silver", K.totals_add_back(silver, totals)),
         K.Check("company is unique in the scorecard", K.unique(gold["company_scorecard"], "company")),
-        K.Check("late_pct is a percentage", K.accepted_range(gold["company_scorecard"], "late_pct", 0.0, 100.0)),
+        K.RowCheck("late_pct is a percentage", gold["company_scorecard"], K.is_outside("late_pct", 0.0, 100.0)),
         K.Check(
             "month and group are unique",
             K.unique_combination(gold["monthly_product_stats"], ["month", "product_group"]),
@@ -154,7 +158,7 @@ def run_layers(
         )
     silver, rejected, lookup = (spark.read.parquet(warehouse.path(t)) for t in ["silver", "rejects", "lookup"])
     if first <= 1:
-        results += K.gate(silver_checks(bronze, silver, rejected, lookup, seeds))
+        results += K.gate(silver_checks(bronze, silver, rejected, lookup, seeds, now.date()))
         timings["silver"] = at() - began
 
     began = at()

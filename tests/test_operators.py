@@ -145,6 +145,14 @@ def test_checks_find_bad_rows(spark):
     results = Q.run_checks([Q.Check("u", Q.unique(df, "id")), Q.Check("n", Q.not_null(df, "t"), Q.WARN)])
     assert [(r.name, r.bad_rows, r.passed) for r in results] == [("u", 1, False), ("n", 1, False)]
     assert Q.gate([Q.Check("n", Q.not_null(df, "t"), Q.WARN)])[0].bad_rows == 1
+    together = [
+        Q.RowCheck("low", df, Q.is_outside("id", low=2)),
+        Q.Check("n", Q.not_null(df, "t")),
+        Q.RowCheck("listed", df, Q.is_unlisted("t", ["a"]), Q.WARN),
+        Q.RowCheck("other table", parent, F.col("t").isNull()),
+    ]
+    assert [(r.name, r.bad_rows) for r in Q.run_checks(together)] == [("low", 2), ("n", 1), ("listed", 1), ("other table", 0)]
+    assert Q.run_checks([]) == []
     with pytest.raises(Q.GateError, match="u: 1 bad rows"):
         Q.gate([Q.Check("u", Q.unique(df, "id"))])
 
