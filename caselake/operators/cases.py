@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caselake.functions.columns import fit_width, hour_boundaries, starts_with
 from caselake.operators.aggregates import reproducible_sample
+from caselake.operators.joins import lookup_join
 from caselake.operators.numbering import global_rank, latest_per_key
 from caselake.sources.relations import inline_relation
 
@@ -68,7 +69,7 @@ def case_history(cases: DataFrame, history: DataFrame, codes: DataFrame, complai
     """Every status change of one case, oldest first (K2)."""
     case = cases.filter(F.col("CMPL_ID") == complaint_id).select("CASE_ID")
     return (
-        history.join(case, "CASE_ID")
+        lookup_join(history, case, ["CASE_ID"], "inner")
         .join(codes, "STAT_CD")
         .orderBy("UPD_TS", "STAT_ID")
         .select("UPD_TS", "STAT_CD", "STAT_DESC", "ASGN_TEAM", "CUR_FLG")

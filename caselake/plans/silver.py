@@ -79,14 +79,17 @@ def company_lookup(names: DataFrame, company_map: DataFrame) -> DataFrame:
     based = cleaned.withColumn("company_base", company_base("_cleaned"))
     formed = based.select("company_raw", "company_base", legal_form("_cleaned", "company_base").alias("legal_form"))
     known_form = F.nullif("legal_form", F.lit(""))
-    per_base = formed.groupBy("company_base").agg(
-        (F.coalesce(F.min(known_form) != F.max(known_form), F.lit(False))).alias("_mixed_forms")
+    mixed = (
+        formed.groupBy("company_base")
+        .agg((F.min(known_form) != F.max(known_form)).alias("_mixed_forms"))
+        .filter("_mixed_forms")
     )
     reviewed = company_map.select(F.col("company_norm").alias("company_base"), "company_canonical")
     automatic = F.when(
         F.col("_mixed_forms"), F.concat("company_base", F.lit(" "), F.col("legal_form"))
     ).otherwise(F.nullif("company_base", F.lit("")))
-    return lookup_join(formed.join(per_base, "company_base"), reviewed, ["company_base"]).select(
+    marked = lookup_join(formed, materialise(mixed, "mixed_bases"), ["company_base"])
+    return lookup_join(marked, reviewed, ["company_base"]).select(
         "company_raw",
         F.coalesce("company_canonical", automatic, F.upper("company_raw")).alias("company"),
         "company_base",
