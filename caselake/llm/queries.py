@@ -1,6 +1,8 @@
 """All queries of the subpackage."""
 
-from caselake.llm import chat, decontamination, mixing, token_counts  # noqa: F401  (registers)
+from caselake.llm import (  # noqa: F401  (importing registers the queries)
+    chat, decontamination, mixing, quality, surrogates, token_counts, toxicity,
+)
 from caselake.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -6,23 +6,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caselake.llm.decontamination import decontaminated
 from caselake.llm.mixing import mixed_documents
+from caselake.llm.quality import good_documents
 from caselake.llm.registry import table
+from caselake.llm.surrogates import without_pii
 from caselake.session import materialise
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return good_documents(docs, table(spark, sf_dir, "labels"))
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; documents that are mostly benchmark go."""
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Entities get surrogates; every document stays."""
+    return without_pii(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for."""
     return mixed_documents(docs)
 
 
 STAGES = [
+    ("quality", quality),
     ("decontamination", decontaminate),
+    ("pii", pii),
     ("mixing", mix),
 ]
 
+# fitted trees, similarity groups and suffix automata have no SQL; the tests compare with brute force
 ORACLE_SQL = None
 
 
