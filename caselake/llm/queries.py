@@ -1,7 +1,7 @@
 """All queries of the subpackage."""
 
 from caselake.llm import (  # noqa: F401  (importing registers the queries)
-    chat, decontamination, mixing, quality, surrogates, token_counts, toxicity,
+    chat, decontamination, mixing, quality, surrogates, token_counts, toxicity, vptree,
 )
 from caselake.llm.registry import ORACLES, QUERIES
 
