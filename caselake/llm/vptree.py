@@ -208,7 +208,7 @@ WITH v AS (
     AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
 d AS (
   SELECT q.vec_id AS query_id, v.vec_id,
-         sqrt(list_reduce(list_prepend(0::DOUBLE, list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - v.v[i]) * (q.v[i] - v.v[i]))), (a, b) -> a + b)) AS score
+         sqrt(list_reduce(list_prepend(0::DOUBLE, list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - v.v[i]) * (q.v[i] - v.v[i]))), lambda a, b: a + b)) AS score
   FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0)
 SELECT query_id, rank::INT AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from caselake.llm.decontamination import decontaminated
+from caselake.llm.jaccard import one_of_each
 from caselake.llm.mixing import mixed_documents
 from caselake.llm.quality import good_documents
 from caselake.llm.registry import table
@@ -17,6 +18,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return one_of_each(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly benchmark go."""
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -34,6 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", quality),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontaminate),
     ("pii", pii),
     ("mixing", mix),
