@@ -383,16 +383,14 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     found = near_duplicates(docs, key, text)
     same = found.groupBy("doc_id", "th").agg(F.count("*").alias("rows"), F.min("component_id").alias("c"), F.max("n_shingles").alias("n"))
     same = materialise(same.filter("doc_id is not null and n > 0").withColumn("gone", F.col("c") != F.col("doc_id")), "decisions")
-    t = F.xxhash64(F.col(f"`{text}`"))
-    is_row = lambda d: (F.col(f"`{key}`") == d["doc_id"]) & (t == d["th"])
-    gone = same.filter("gone or rows > 1").select("doc_id", "th")
-    kept = docs.join(limited_broadcast(gone), is_row(gone), "left_anti")
-    again = same.filter("rows > 1 and not gone").select("doc_id", "th")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    wrapped = docs.select(whole, F.col(f"`{key}`").alias("i"), F.xxhash64(F.col(f"`{text}`")).alias("h"))
+    named = lambda rows: limited_broadcast(rows.select(F.col("doc_id").alias("i"), F.col("th").alias("h")))
+    kept = wrapped.join(named(same.filter("gone or rows > 1")), ["i", "h"], "left_anti")
+    again = same.filter("rows > 1 and not gone")
     if again.limit(1).count():
-        repeated = docs.join(limited_broadcast(again), is_row(again), "left_semi").withColumn("_th", t)
-        kept = kept.unionByName(repeated.dropDuplicates([key, "_th"]).drop("_th"))
-    return kept
-
+        kept = kept.unionByName(wrapped.join(named(again), ["i", "h"], "left_semi").dropDuplicates(["i", "h"]))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 @query("op4_jaccard_join")
