@@ -51,7 +51,7 @@ class Link:
     """Logistic model over sparse 0/1 columns and a few dense ones."""
 
     def __init__(self, columns: list[np.ndarray], dense: np.ndarray, y: np.ndarray, width: int, rounds: int = 150, ridge: float = 1.0):
-        sizes = np.array([len(c) for c in columns])
+        sizes = np.array([len(c) for c in columns], dtype=np.int64)
         flat, row = np.concatenate([*columns, np.zeros(0, np.int64)]), np.repeat(np.arange(len(y)), sizes)
         self.w, self.v, self.b = np.zeros(width), np.zeros(dense.shape[1]), float(np.log((y.mean() + 1e-3) / (1.001 - y.mean())))
         # Adam on the whole sample; class weights keep rare categories audible
@@ -67,7 +67,7 @@ class Link:
             self.w, self.v, self.b = self.w - step[:width], self.v - step[width:-1], self.b - step[-1]
 
     def log_odds(self, columns: list[np.ndarray], dense: np.ndarray) -> np.ndarray:
-        sizes = np.array([len(c) for c in columns])
+        sizes = np.array([len(c) for c in columns], dtype=np.int64)
         flat, row = np.concatenate([*columns, np.zeros(0, np.int64)]), np.repeat(np.arange(len(sizes)), sizes)
         return np.clip(np.bincount(row, self.w[flat], len(sizes)) + dense @ self.v + self.b, -20, 20)
 
@@ -95,7 +95,7 @@ class Chain:
     @staticmethod
     def _selected(hashed: list[np.ndarray], targets: dict[str, np.ndarray]) -> np.ndarray:
         """Hash -> column of the features that differ most between some category and the rest, else -1."""
-        sizes = np.array([len(h) for h in hashed])
+        sizes = np.array([len(h) for h in hashed], dtype=np.int64)
         flat = np.concatenate([*hashed, np.zeros(0, np.int64)])
         seen, score = np.bincount(flat, minlength=SPACE), np.zeros(SPACE)
         for y in targets.values():
