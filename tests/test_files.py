@@ -78,6 +78,51 @@ def test_single_line_files_use_the_plain_reader(spark, tmp_path):
     assert FL.read_raw_csv(spark, path).collect()[0]["t"] == 'a "b", c'
 
 
+def parsed(spark, path, **options):
+    df = spark.read.csv(path, header=True, quote='"', escape='"', **options)
+    return sorted(tuple(v or "" for v in r) for r in df.collect())
+
+
+def test_stray_quotes_lose_nothing(spark, tmp_path, small_splits):
+    lines = [f'{i},plain {i}' for i in range(300)]
+    lines[40], lines[41], lines[200] = '40,5" pipe', '41,6 ft" and 7"', '200,a "b" c'
+    lines[100] = '100,"two\nlines, one "" quote"'
+    (tmp_path / "s.csv").write_text("id,t\n" + "\n".join(lines) + "\n")
+    df = FL.read_raw_csv(spark, str(tmp_path / "s.csv"))
+    assert df.count() == 300
+    assert sorted(tuple(v or "" for v in r) for r in df.collect()) == parsed(spark, str(tmp_path / "s.csv"), multiLine=True)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_random_quotes_as_spark_reads_them(spark, tmp_path, small_splits, seed):
+    rng = random.Random(seed)
+    fields = ["a", "", 'b"c', 'd" "', '"x,y"', '"q""r"', '"line\nend"', '"\n\n"', '"""\n"""', "e f"]
+    body = "".join(f"{i},{rng.choice(fields)},{rng.choice(fields)},z\n" for i in range(400))
+    (tmp_path / "r.csv").write_text("id,t,u,v\n" + body)
+    got = FL.read_raw_csv(spark, str(tmp_path / "r.csv"), multi_line=True)
+    assert sorted(tuple(v or "" for v in r) for r in got.collect()) == parsed(spark, str(tmp_path / "r.csv"), multiLine=True)
+
+
+def test_a_field_that_never_closes_is_reported(spark, tmp_path):
+    (tmp_path / "u.csv").write_text('id,t\n1,"open\n2,b\n')
+    with pytest.raises(ValueError, match="u.csv"):
+        FL.read_raw_csv(spark, str(tmp_path / "u.csv")).collect()
+
+
+@pytest.mark.parametrize("text", ["x", "x\ny"])
+def test_other_headers_are_reported(spark, tmp_path, text):
+    write_csv(tmp_path / "a.csv", [["1", text]], ["id", "company"])
+    write_csv(tmp_path / "b.csv", [[text, "2"]], ["company", "id"])
+    with pytest.raises(Exception, match="[ab].csv"):
+        FL.read_raw_csv(spark, str(tmp_path)).collect()
+
+
+def test_ambiguous_headers(spark):
+    df = inline_relation(spark, [("7", "8", "2025-01-01", "p", "c")], "`Complaint ID` STRING, `complaint-id` STRING, `Date-Received` STRING, product STRING, Company STRING")
+    with pytest.raises(ValueError, match="ambiguous"):
+        FL.conform(df)
+
+
 def test_conform(spark):
     df = inline_relation(spark, [("7", "2025-01-01", "p", "c")], "`COMPLAINT id` STRING, `Date-Received` STRING, product STRING, Company STRING")
     conformed = FL.conform(df)
