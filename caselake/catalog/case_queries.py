@@ -182,7 +182,7 @@ LAST = ", ".join(f"{c} NULLS LAST" for c in COMPLAINT_TARGETS)
 @query("k12_case_extract", f"""{ONLY}
 SELECT complaint_id AS CMPL_ID, left(product, 100) AS PRD_DESC, left(issue, 255) AS ISS_DESC, left(company, 255) AS CO_NM,
   left(state, 2) AS ST_CD, date_received AS RCV_DT, left(submitted_via, 30) AS CHNL,
-  left(consumer_complaint_narrative, 4000) AS NARR_TXT
+  left(consumer_complaint_narrative, 4000) AS NARR_TXT, company_response_to_consumer AS RESP
 FROM complaints WHERE complaint_id IS NOT NULL AND date_received IS NOT NULL
 ORDER BY md5(concat_ws(':', '42', complaint_id)), {LAST} LIMIT 50000""")
 def _(spark, sf):

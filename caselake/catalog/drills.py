@@ -19,13 +19,10 @@ from caselake.operators import joins as J
 from caselake.operators import numbering as N
 from caselake.plans import analysis as A
 from caselake.sources.files import COMPLAINT_TARGETS
-from caselake.sources.relations import inline_relation, unnest_values
+from caselake.sources.relations import inline_relation, seed_rows, unnest_values
 
-# The states (and DC) of the zero-preserving join.
-STATES = (
-    "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC "
-    "ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY"
-).split()
+# the states (and DC) of the zero-preserving join
+STATES = [code for code, _, region in seed_rows("state_ref") if region != "Territory / military"]
 STATES_SQL = "members AS (SELECT unnest([" + ", ".join(f"'{s}'" for s in STATES) + "]) AS state)"
 # A small lookup of regions.
 REGIONS = [
@@ -262,8 +259,9 @@ def _(spark, sf):
 SELECT region, count(*) AS n FROM complaints JOIN regions USING (state) GROUP BY region""")
 def _(spark, sf):
     regions = inline_relation(spark, REGIONS, "state STRING, region STRING")
-    joined = J.lookup_join(typed_complaints(spark, sf).select("state"), regions, ["state"], "inner")
-    return G.count_by(joined, "region")
+    per_state = G.count_by(typed_complaints(spark, sf), "state")
+    joined = J.lookup_join(per_state, regions, ["state"], "inner")
+    return joined.groupBy("region").agg(F.sum("n").alias("n"))
 
 
 # ---- aggregates ------------------------------------------------------------------------------

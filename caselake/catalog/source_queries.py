@@ -8,7 +8,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.catalog.layers import GOLD_SQL, typed_table
+from caselake.catalog.layers import GOLD_SQL, STAND_IN_DAYS, typed_table
 from caselake.catalog.questions import MONTHLY, WITH
 from caselake.catalog.registry import query
 from caselake.catalog.standin import BATCHES, RAW_SQL, TYPED_SQL, raw_complaints, table, typed_complaints
@@ -148,10 +148,10 @@ def _(spark, sf):
     return month_over_month(replace_table(monthly, scratch_path(spark, "monthly_per_product")))
 
 
-@query("a14_csv_export", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type FROM part")
+@query("a14_csv_export", "SELECT COLUMNS(*)::VARCHAR FROM part")
 def _(spark, sf):
     path = scratch_path(spark, "parts_csv")
-    FL.export_csv(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type"), path)
+    FL.export_csv(table(spark, sf, "part"), path)
     return FL.read_raw_csv(spark, path)
 
 
@@ -166,8 +166,9 @@ _INGESTED = f"""CASE WHEN l_linenumber <= 4 THEN TIMESTAMP '{BATCHES["batch-a"]}
 @query("a16_layered_run", GOLD_SQL.replace(RAW_SQL, FILE_RAW_SQL).replace(_INGESTED, f"TIMESTAMP '{NOW}'") + " SELECT * FROM scorecard")
 def _(spark, sf):
     warehouse = Warehouse(scratch_path(spark, "warehouse"))
-    run_layers(spark, warehouse, raw_file(spark, sf), snapshot=True, now=NOW)
-    run_layers(spark, warehouse, start="gold", now=NOW)
+    days = {"first_day": STAND_IN_DAYS[0], "calendar": STAND_IN_DAYS}
+    run_layers(spark, warehouse, raw_file(spark, sf), snapshot=True, now=NOW, **days)
+    run_layers(spark, warehouse, start="gold", now=NOW, **days)
     return tables(spark, warehouse)["company_scorecard"]
 
 

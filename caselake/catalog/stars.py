@@ -84,13 +84,14 @@ for _name, (_table, _sql) in DIMENSIONS.items():
 
 
 @query("kd1_dim_date", f"""{STAR_SQL}
-SELECT d.*, count(*) AS complaints FROM dates d JOIN fact ON date_received_key = date_key GROUP BY ALL""")
+SELECT d.*, count(date_received_key) AS complaints FROM dates d LEFT JOIN fact ON date_received_key = date_key GROUP BY ALL""")
 def _(spark, sf):
     star = star_tables(spark, sf)
     per_day = star["fact_complaints"].groupBy(F.col("date_received_key").alias("date_key")).agg(
         F.count("*").alias("complaints")
     )
-    return star["dim_date"].join(per_day, "date_key")
+    days = star["dim_date"].join(per_day, "date_key", "left")
+    return days.withColumn("complaints", F.coalesce("complaints", F.lit(0)))
 
 
 @query("kd2_dim_company_marts", f"""{WITH_SILVER}
@@ -117,11 +118,12 @@ def _(spark, sf):
 
 
 @query("kd5_dim_state_marts", f"""{MARTS_SQL}
-SELECT m.*, count(*) AS complaints FROM mart_states m JOIN silver s ON ifnull(s.state, 'NA') = m.state_code GROUP BY ALL""")
+SELECT m.*, count(complaint_id) AS complaints FROM mart_states m LEFT JOIN silver s ON ifnull(s.state, 'NA') = m.state_code GROUP BY ALL""")
 def _(spark, sf):
     marts = mart_tables(spark, sf)
     per_state = marts["fct_complaints"].groupBy("state_key").agg(F.count("*").alias("complaints"))
-    return marts["dim_state"].join(per_state, "state_key")
+    states = marts["dim_state"].join(per_state, "state_key", "left")
+    return states.withColumn("complaints", F.coalesce("complaints", F.lit(0)))
 
 
 @query("kd7_fct_complaints", f"""{MARTS_SQL}

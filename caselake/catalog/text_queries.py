@@ -10,7 +10,7 @@ from caselake.catalog.standin import sql_text, table
 from caselake.functions import scoring as SC
 from caselake.operators.similarity import company_candidates
 from caselake.plans import gold as G
-from caselake.session import materialise, scratch_path, spread
+from caselake.session import materialise, scratch_path
 from caselake.sources.files import export_csv, read_raw_csv
 
 # Words that do occur in the documents, in the shape of the posting signals.
@@ -54,34 +54,52 @@ SELECT *, CASE WHEN score >= 8 THEN 'engineering' WHEN score <= -3 THEN 'SALES-D
 FROM summed"""
 
 
+# phrases of postings, one per signal and some without any; a document gets a few, some more than the cap
+PHRASES = [
+    "runs in production", "builds services", "end-to-end work", "Python and SQL", "Docker on AWS", "LLM agents", "dbt", "a quota",
+    "OTE", "ote", "commission", "presales", "close deals", "account executives", "demos", "RFPs", "team lunch",
+]
+LEADERS = ["Sales Director", "VP of Engineering", "the CTO and the head of sales", "nobody"]
+POSTING_SQL = " || ' ' || ".join(
+    ["coalesce(text, '')"]
+    + [f"repeat([{', '.join(map(sql_text, PHRASES))}][(doc_id * {m}) % {len(PHRASES)} + 1] || ' ', CAST(doc_id % {n} AS BIGINT))" for m, n in ((1, 6), (5, 3), (11, 2))]
+)
+LEADER_SQL = f"[{', '.join(map(sql_text, LEADERS))}][doc_id % {len(LEADERS)} + 1]"
+
+
+def postings(spark, sf):
+    """The documents in the layout of job postings, with phrases and leaders chosen by doc_id."""
+    pick = lambda words, i: F.element_at(F.array(*map(F.lit, words)), (i % len(words) + 1).cast("int"))
+    said = [F.repeat(F.concat(pick(PHRASES, F.col("doc_id") * m), F.lit(" ")), (F.col("doc_id") % n).cast("int")) for m, n in ((1, 6), (5, 3), (11, 2))]
+    text = F.concat_ws(" ", F.coalesce("text", F.lit("")), *said)
+    return table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), text.alias("description"), pick(LEADERS, F.col("doc_id")).alias("reports_to"), F.lit("").alias("comp_text")
+    )
+
+
+def scored_documents(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "text", "source")
+    scored = SC.score_text(documents, "text", "source", DOCUMENT_SIGNALS, CONTEXT)
+    return scored.select("doc_id", "score", "evidence", SC.score_label("score").alias("label"))
+
+
 @query("m1_score_documents", _score_sql(DOCUMENT_SIGNALS, CONTEXT, "text", "source"))
 def _(spark, sf):
-    documents = spread(table(spark, sf, "documents")).select("doc_id", "text", "source")
-    scored = SC.score_text(documents, "text", "source", DOCUMENT_SIGNALS, CONTEXT)
-    return scored.select("doc_id", "score", "evidence", SC.score_label("score").alias("label")).orderBy(
-        F.desc("score"), "doc_id"
-    )
+    return SC.best_first(scored_documents(spark, sf), "doc_id")
 
 
-@query("m2_score_postings", _score_sql(SC.POSTING_SIGNALS, SC.POSTING_CONTEXT, "text || ' '", "source"))
+@query("m2_score_postings", _score_sql(SC.POSTING_SIGNALS, SC.POSTING_CONTEXT, f"{POSTING_SQL} || ' '", LEADER_SQL))
 def _(spark, sf):
-    # the documents in the layout of job postings
-    postings = spread(table(spark, sf, "documents")).select(
-        F.col("doc_id").alias("id"), F.col("text").alias("description"), F.col("source").alias("reports_to"),
-        F.lit("").alias("comp_text"),
-    )
-    return SC.score_postings(postings).select(F.col("id").alias("doc_id"), "score", "evidence", "label")
+    return SC.score_postings(postings(spark, sf)).select(F.col("id").alias("doc_id"), "score", "evidence", "label")
 
 
 @query("m3_scored_csv", _score_sql(DOCUMENT_SIGNALS, CONTEXT, "text", "source").replace(
-    "SELECT *, CASE WHEN", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(score AS VARCHAR) AS score, CASE WHEN"
+    "SELECT *, CASE WHEN", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(score AS VARCHAR) AS score, nullif(evidence, '') AS evidence, CASE WHEN"
 ))
 def _(spark, sf):
     # the labelled list written as CSV and read back
-    documents = spread(table(spark, sf, "documents")).select("doc_id", "text", "source")
-    scored = SC.score_text(documents, "text", "source", DOCUMENT_SIGNALS, CONTEXT)
     path = scratch_path(spark, "scored_csv")
-    export_csv(scored.select("doc_id", "score", SC.score_label("score").alias("label")), path)
+    export_csv(scored_documents(spark, sf), path)
     return read_raw_csv(spark, path)
 
 

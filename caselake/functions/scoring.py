@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselake.functions.columns import as_column
+from caselake.session import materialise
 
 
 class Signal(NamedTuple):
@@ -125,4 +126,10 @@ def posting_text() -> Column:
 def score_postings(postings: DataFrame) -> DataFrame:
     """Scored and labelled postings, best first."""
     scored = score_text(postings, posting_text(), "reports_to")
-    return scored.withColumn("label", score_label("score")).orderBy(F.desc("score"), "id")
+    return best_first(scored.withColumn("label", score_label("score")), "id")
+
+
+def best_first(scored: DataFrame, row_id: str) -> DataFrame:
+    """Sorted by score. A global sort runs its input twice, once to find the ranges, so the scores are
+    stored first and every pattern is matched once."""
+    return materialise(scored, "scores").orderBy(F.desc("score"), row_id)

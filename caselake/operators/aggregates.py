@@ -136,9 +136,26 @@ def page(df: DataFrame, offset: int, rows: int, *order: Column) -> DataFrame:
 
 
 def reproducible_sample(df: DataFrame, row_id: str, size: int, seed: int = 42) -> DataFrame:
-    """A fixed-size sample that depends only on ids and seed, not on the partitioning."""
+    """A fixed-size sample that depends only on ids and seed, not on the partitioning.
+
+    The rows with the smallest lots (digests of seed and id) are taken. A bound on the lot, from the
+    row count, leaves little more than ``size`` candidates; only their lots are ordered. Rows below
+    the last lot are taken by a filter, and only rows of that one lot compare all columns.
+    """
     lot = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
-    return df.orderBy(lot, *[F.asc_nulls_last(c) for c in df.columns]).limit(size)
+    total = df.count()
+    if total <= size:
+        return df
+    lots, margin = None, 6 * size**0.5 + 20
+    while lots is None or lots.limit(size).count() < size:
+        share = min(1.0, (size + margin) / total)
+        bound = f"{min(int(share * 16**8), 16**8 - 1):08x}"
+        lots = df.select(lot.alias("lot")).filter(F.substring("lot", 1, 8) <= bound)
+        margin *= 4
+    last = lots.orderBy("lot").limit(size).agg(F.max("lot")).first()[0]
+    below = df.filter(lot < last)
+    ties = df.filter(lot == last).orderBy(*[F.asc_nulls_last(c) for c in df.columns])
+    return below.unionByName(ties.limit(size - below.count()))
 
 
 def first_and_last_seen(df: DataFrame, keys: Sequence[str], day: str, name: str = "n") -> DataFrame:

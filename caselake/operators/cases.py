@@ -213,5 +213,6 @@ def case_extract(complaints: DataFrame, size: int = 50_000, seed: int = 42) -> D
     }
     texts = [fit_width(source, EXTRACT_WIDTHS[name]).alias(name) for name, source in sources.items()]
     return sampled.select(
-        F.col("complaint_id").alias("CMPL_ID"), *texts[:4], F.col("date_received").alias("RCV_DT"), *texts[4:]
+        F.col("complaint_id").alias("CMPL_ID"), *texts[:4], F.col("date_received").alias("RCV_DT"), *texts[4:],
+        F.col("company_response_to_consumer").alias("RESP"),
     )

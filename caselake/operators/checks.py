@@ -127,17 +127,17 @@ def totals_add_back(clean: DataFrame, models: dict[str, tuple[DataFrame, str | N
 
 def merged_across_legal_forms(lookup: DataFrame) -> DataFrame:
     """Companies the rules merged although their spellings show different legal forms."""
-    automatic = lookup.filter(~F.col("mapped_by_seed"))
+    automatic = lookup.filter(~F.col("mapped_by_seed")).select("company", "company_raw", "legal_form")
     form = F.nullif("legal_form", F.lit(""))
+    # two forms differ exactly if the smallest and the largest do; only such companies are gathered
+    several = automatic.groupBy("company").agg(F.min(form).alias("_lo"), F.max(form).alias("_hi")).filter("_lo <> _hi")
     return (
-        automatic.groupBy("company")
+        automatic.join(several.select("company"), "company", "left_semi")
+        .groupBy("company")
         .agg(
             F.array_join(F.array_sort(F.collect_set("legal_form")), " | ").alias("legal_forms"),
             F.array_join(F.array_sort(F.collect_list("company_raw")), " | ").alias("raw_spellings"),
-            F.count_distinct(form).alias("_forms"),
         )
-        .filter("_forms > 1")
-        .drop("_forms")
     )
 
 

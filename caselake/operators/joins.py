@@ -9,9 +9,12 @@ from operator import add, and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caselake.session import materialise
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
+HOT_SHARE = 0.001
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -33,9 +36,19 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return rows <= max_rows and size <= max_bytes
 
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
-    # a hash of the row keeps the salt the same when a lost task runs again
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys (NULL included) with more than ``share`` of all rows: fewer than 1 / ``share`` of them."""
+    counted = materialise(facts.groupBy(*on).agg(F.count("*").alias("_n")), "key_counts")
+    total = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    return counted.filter(F.col("_n") > share * total).select(*on)
+
+
+def with_salt(facts: DataFrame, hot: DataFrame, on: Sequence[str], salts: int) -> DataFrame:
+    """Rows of hot keys are dealt over ``salts`` by position, so that equal rows spread too; others get 0."""
+    marked = hot.select(*[F.col(c).alias(f"_h_{c}") for c in on], F.lit(True).alias("_hot"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in on])
+    dealt = F.when(F.col("_hot"), F.monotonically_increasing_id() % salts).otherwise(0).cast("int")
+    return facts.join(F.broadcast(marked), same, "left").withColumn("_salt", dealt).drop("_hot", *[f"_h_{c}" for c in on])
 
 
 def lookup_join(
@@ -50,17 +63,21 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows to a reference table on equal columns, plus an optional extra ``condition``.
 
-    The lookup is broadcast only if counting proves it small. Otherwise both sides are shuffled
-    on (key, salt): the lookup is repeated per salt and the facts are spread over the salts, so a
-    key (or a NULL key) that holds a third of all rows still lands on ``salts`` tasks.
+    ``how`` is left or inner. The lookup is broadcast only if counting proves it small. Otherwise both
+    sides are shuffled on (key, salt). Keys that a count shows to be hot (NULL too) are salted: their
+    facts are dealt over the salts and only their lookup rows are repeated; all others join as they are.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"lookup_join is a left or inner join, not {how}")
     on = list(on)
     if fits_broadcast(lookup, max_rows, max_bytes):
         left, right, keys = facts, F.broadcast(lookup), on
     else:
-        left = facts.withColumn("_salt", _row_salt(facts, salts))
-        right = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-        keys = [*on, "_salt"]
+        hot = hot_keys(facts, on)
+        left, keys = with_salt(facts, hot, on, salts), [*on, "_salt"]
+        marked = lookup.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
+        every = F.array(*[F.lit(i) for i in range(salts)])
+        right = marked.withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
     if condition is None:
         return left.join(right, keys, how).drop("_salt")
     right = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])

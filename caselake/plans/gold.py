@@ -9,7 +9,7 @@ from caselake.functions.columns import month_of, pct, round_half, safe_long
 from caselake.operators.aggregates import (
     exact_percentiles, first_and_last_seen, joined_text, top_n_per_group, weighted_mean,
 )
-from caselake.operators.joins import in_either, lookup_join
+from caselake.operators.joins import in_either
 from caselake.session import materialise
 
 # A company this large and this late is checked before it is reported.
@@ -115,8 +115,10 @@ def flag_summary(silver: DataFrame) -> DataFrame:
 
 def merge_review(scorecard: DataFrame, lookup: DataFrame) -> DataFrame:
     """Companies made of more than one spelling, with the spellings."""
-    spelled = lookup.groupBy("company").agg(joined_text("company_raw").alias("raw_spellings"))
-    merged = scorecard.filter(F.col("raw_name_variants") > 1).join(spelled, "company")
+    wanted = scorecard.filter(F.col("raw_name_variants") > 1).select("company", "complaints", "raw_name_variants")
+    theirs = lookup.select("company", "company_raw").join(wanted.select("company"), "company", "left_semi")
+    spelled = theirs.groupBy("company").agg(joined_text("company_raw").alias("raw_spellings"))
+    merged = wanted.join(spelled, "company")
     return merged.select("company", "complaints", "raw_name_variants", "raw_spellings").orderBy(
         F.desc("complaints"), "company"
     )
@@ -196,21 +198,13 @@ def lineage(bronze: DataFrame, silver: DataFrame) -> DataFrame:
 def duplicate_audit(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Ids that occur more than once, every copy's sent date and the one that was kept (K-Q5, C14).
 
-    Salted on the copy itself, so the copies of one hot id are joined on many tasks.
+    Copies are counted per (id, sent date) first, so a hot id is a few rows in the join with Silver;
+    each count is turned back into its rows at the end.
     """
-    copies = bronze.select("complaint_id", F.col("date_sent_to_company").alias("bronze_date_sent"))
-    kept = silver.select(
-        F.col("complaint_id").alias("_id"), F.col("date_sent_to_company").alias("silver_kept_date_sent")
-    )
-    repeated = (
-        copies.groupBy("complaint_id")
-        .agg(F.count("*").alias("_n"))
-        .filter("_n > 1")
-        .withColumn("_id", safe_long("complaint_id"))
-        .filter("_id IS NOT NULL")
-        .join(kept, "_id", "left")
-        .select("complaint_id", "silver_kept_date_sent")
-    )
-    return lookup_join(copies, materialise(repeated, "repeated_ids"), ["complaint_id"], "inner").select(
-        "complaint_id", "bronze_date_sent", "silver_kept_date_sent"
-    )
+    per_date = bronze.groupBy("complaint_id", F.col("date_sent_to_company").alias("bronze_date_sent")).agg(F.count("*").alias("_n"))
+    per_date = materialise(per_date, "sent_dates")
+    repeated = per_date.groupBy("complaint_id").agg(F.sum("_n").alias("_all")).filter("_all > 1").withColumn("_id", safe_long("complaint_id"))
+    kept = silver.select(F.col("complaint_id").alias("_id"), F.col("date_sent_to_company").alias("silver_kept_date_sent"))
+    known = repeated.filter("_id IS NOT NULL").join(kept, "_id", "left").select("complaint_id", "silver_kept_date_sent")
+    rows = per_date.join(known, "complaint_id").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    return rows.select("complaint_id", "bronze_date_sent", "silver_kept_date_sent")

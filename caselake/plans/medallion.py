@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Sequence
 from datetime import date, datetime
 from typing import NamedTuple
 
@@ -10,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.operators import checks as K
+from caselake.operators.joins import assert_no_fanout
 from caselake.plans.gold import GOLD_TABLES
 from caselake.plans.report import build_report
 from caselake.plans.silver import REJECT_REASONS, build_company_lookup, build_silver, rejects, stage
-from caselake.session import side_by_side
+from caselake.plans.star import CALENDAR, build_marts
+from caselake.session import materialise, side_by_side
 from caselake.sources.bronze import land_csv, read_batches, read_log, write_batch, write_snapshot
-from caselake.sources.relations import load_seeds, replace_table
+from caselake.sources.relations import SEEDS, load_seeds, replace_table, write_for_lookups
 
 LAYERS = ["bronze", "silver", "gold"]
 # Submission channels that are known.
@@ -23,14 +27,35 @@ CHANNELS = ["Web", "Referral", "Phone", "Postal mail", "Fax", "Email", "Web Refe
 FIRST_DAY = date(2011, 12, 1)
 
 
+MARTS = ["dim_date", "dim_company", "dim_product", "dim_state", "fct_complaints"]
+
+
 class Warehouse(NamedTuple):
-    """Where the layers live: any folder all executors can reach."""
+    """Where the layers live: any folder all executors can reach.
+
+    Every run writes Silver, Gold and marts into folders of its own. A layer becomes readable when its
+    checks have passed: a row per table in ``published`` then names the run to read. Appending those
+    rows is one committed write, so readers see the old layer or the new one.
+    """
 
     root: str
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def staged(self, table: str, run: str) -> str:
+        return f"{self.root}/{table}/run={run}"
+
+    def publish(self, spark: SparkSession, run: str, names: Sequence[str]) -> None:
+        rows = spark.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("name"), F.lit(run).alias("run"), F.current_timestamp().alias("at"))
+        rows.coalesce(1).write.mode("append").parquet(self.path("published"))
+
+    def read(self, spark: SparkSession, names: Sequence[str]) -> dict[str, DataFrame]:
+        """The published version of each table."""
+        latest = spark.read.parquet(self.path("published")).groupBy("name").agg(F.max_by("run", "at").alias("run"))
+        runs = {r["name"]: r["run"] for r in latest.collect()}  # one row per table
+        return {name: spark.read.parquet(self.staged(name, runs[name])) for name in names}
+
 
 class Run(NamedTuple):
     checks: list[K.Result]
@@ -40,7 +65,7 @@ class Run(NamedTuple):
 
 def tables(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     """All layers as they are stored now."""
-    stored = {name: spark.read.parquet(warehouse.path(name)) for name in ["silver", "rejects", "lookup", *GOLD_TABLES]}
+    stored = warehouse.read(spark, ["silver", "rejects", "lookup", *GOLD_TABLES, *MARTS])
     return {
         "bronze": read_batches(spark, warehouse.path("bronze")),
         "log": read_log(spark, warehouse.path("ingest_log")),
@@ -57,6 +82,15 @@ def bronze_checks(bronze: DataFrame, now: datetime) -> list[K.Check | K.RowCheck
     ]
 
 
+def seed_checks(seeds: dict[str, DataFrame]) -> list[K.Check | K.RowCheck]:
+    """Before any lookup: one row per key, no empty key, and aliases that lead to a listed state."""
+    checks: list[K.Check | K.RowCheck] = []
+    for name, (key, *_) in SEEDS.items():
+        checks += [K.RowCheck(f"{name}.{key} is set", seeds[name], F.col(key).isNull()), K.Check(f"{name}.{key} is unique", K.unique(seeds[name], key))]
+    listed = K.relationships(seeds["state_alias"], seeds["state_ref"], "state_code", "state_code")
+    return [*checks, K.Check("state_alias leads to a listed state", listed)]
+
+
 def silver_checks(
     bronze: DataFrame,
     silver: DataFrame,
@@ -64,6 +98,7 @@ def silver_checks(
     lookup: DataFrame,
     seeds: dict[str, DataFrame],
     today: date,
+    first_day: date = FIRST_DAY,
 ) -> list[K.Check | K.RowCheck]:
     def missing(column: str) -> Column:
         return F.col(column).isNull()
@@ -71,9 +106,10 @@ def silver_checks(
     return [
         K.RowCheck("complaint_id is set", silver, missing("complaint_id")),
         K.RowCheck("date_received is set", silver, missing("date_received")),
-        K.RowCheck("date_received is in range", silver, K.is_outside("date_received", FIRST_DAY, today), K.WARN),
+        K.RowCheck("date_received is in range", silver, K.is_outside("date_received", first_day, today)),
         K.RowCheck("product_group is set", silver, missing("product_group")),
-        K.RowCheck("company is set", silver, missing("company"), K.WARN),
+        K.RowCheck("company is set", silver, missing("company")),
+        K.RowCheck("company is set in the lookup", lookup, missing("company")),
         K.RowCheck("channel is known", silver, K.is_unlisted("submitted_via", CHANNELS), K.WARN),
         K.RowCheck("days_to_send is not negative", silver, K.is_outside("days_to_send", low=0), K.WARN),
         K.RowCheck("reject_reason is known", rejected, K.is_unlisted("reject_reason", REJECT_REASONS)),
@@ -109,6 +145,27 @@ def gold_checks(silver: DataFrame, gold: dict[str, DataFrame]) -> list[K.Check |
     ]
 
 
+def mart_checks(marts: dict[str, DataFrame]) -> list[K.Check | K.RowCheck]:
+    """Keys of the dimensions, and a fact that finds a member for each of its keys."""
+    fact = marts["fct_complaints"]
+    keys = {"dim_date": "date_key", "dim_company": "company_key", "dim_product": "product_key", "dim_state": "state_key"}
+    refers = {"date_received_key": "dim_date", "date_sent_key": "dim_date"} | {keys[d]: d for d in list(keys)[1:]}
+    checks: list[K.Check | K.RowCheck] = [
+        K.RowCheck("fct_complaints.complaint_id is set", fact, F.col("complaint_id").isNull()),
+        K.Check("fct_complaints.complaint_id is unique", K.unique(fact, "complaint_id")),
+        K.RowCheck("fct_complaints.complaint_count is 1", fact, ~F.col("complaint_count").eqNullSafe(F.lit(1))),
+        K.Check("product and sub-product are unique", K.unique_combination(marts["dim_product"], ["product", "sub_product"])),
+        K.Check("company_name is unique", K.unique(marts["dim_company"], "company_name")),
+        K.Check("state_code is unique", K.unique(marts["dim_state"], "state_code")),
+    ]
+    for name, key in keys.items():
+        checks += [K.RowCheck(f"{name}.{key} is set", marts[name], F.col(key).isNull()), K.Check(f"{name}.{key} is unique", K.unique(marts[name], key))]
+    for column, name in refers.items():
+        checks += [K.RowCheck(f"{column} is set", fact, F.col(column).isNull())]
+        checks += [K.Check(f"{column} is in {name}", K.relationships(fact, marts[name], column, keys[name]))]
+    return checks
+
+
 def run_layers(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -118,12 +175,15 @@ def run_layers(
     keep_history: bool = False,
     seed_folder: str | None = None,
     now: datetime | None = None,
+    first_day: date = FIRST_DAY,
+    calendar: tuple[date, date] = CALENDAR,
 ) -> Run:
     """Build the layers from ``start`` on. Every layer is a stored table that the next one reads,
     so lineage ends at layer borders and a lost executor repeats one layer's tasks at most.
 
-    Without ``keep_history`` a load replaces all of Bronze; with it, only its own batches. The
-    checks of a layer run before the next layer is written; an error stops the run (GateError).
+    Without ``keep_history`` a load replaces all of Bronze; with it, only its own batches. Silver, Gold
+    and marts are written beside the tables in use and published after their checks; an error stops
+    the run (GateError) and leaves what was readable before.
     """
     if start not in LAYERS:
         raise ValueError(f"start must be one of {LAYERS}")
@@ -147,30 +207,40 @@ def run_layers(
         results += K.gate(bronze_checks(bronze, now))
         timings["bronze"] = at() - began
 
+    run = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    stage_as = lambda df, name: replace_table(df, warehouse.staged(name, run))
+
     began = at()
     if first <= 1:
-        lookup = build_company_lookup(bronze, seeds, lambda df: replace_table(df, warehouse.path("lookup")))
-        side_by_side(
+        results += K.gate(seed_checks(seeds))
+        lookup = assert_no_fanout(build_company_lookup(bronze, seeds, lambda df: stage_as(df, "lookup")), ["company_raw"])
+        built = side_by_side(
             {
-                "silver": lambda: replace_table(build_silver(bronze, lookup, seeds), warehouse.path("silver")),
-                "rejects": lambda: replace_table(rejects(bronze), warehouse.path("rejects")),
+                "silver": lambda: write_for_lookups(
+                    build_silver(bronze, lookup, seeds), warehouse.staged("silver", run), "date_received", ["company"], "complaint_id"
+                ),
+                "rejects": lambda: stage_as(rejects(bronze), "rejects"),
             }
         )
-    silver, rejected, lookup = (spark.read.parquet(warehouse.path(t)) for t in ["silver", "rejects", "lookup"])
-    if first <= 1:
-        results += K.gate(silver_checks(bronze, silver, rejected, lookup, seeds, now.date()))
+        results += K.gate(silver_checks(bronze, built["silver"], built["rejects"], lookup, seeds, now.date(), first_day))
+        warehouse.publish(spark, run, ["lookup", "silver", "rejects"])
         timings["silver"] = at() - began
+    silver, lookup = warehouse.read(spark, ["silver", "lookup"]).values()
 
     began = at()
-    gold = side_by_side(
-        {
-            name: lambda name=name, build=build: replace_table(build(silver), warehouse.path(name))
-            for name, build in GOLD_TABLES.items()
-        }
-    )
+    gold = side_by_side({name: lambda name=name, build=build: stage_as(build(silver), name) for name, build in GOLD_TABLES.items()})
     results += K.gate(gold_checks(silver, gold))
+    warehouse.publish(spark, run, list(gold))
     timings["gold"] = at() - began
 
+    began = at()
+    write = lambda df, name: (stage_as if name in MARTS else materialise)(df, name)
+    marts = build_marts(silver, lookup, seeds["state_ref"], write, calendar)
+    marts["fct_complaints"] = stage_as(marts["fct_complaints"], "fct_complaints")
+    results += K.gate(mart_checks(marts))
+    warehouse.publish(spark, run, MARTS)
+    timings["marts"] = at() - began
+
     began = at()
     report = build_report(tables(spark, warehouse), seeds["product_map"], results, timings, now)
     timings["report"] = at() - began

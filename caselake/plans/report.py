@@ -73,9 +73,22 @@ def standardisation(silver: DataFrame, lookup: DataFrame, product_map: DataFrame
     )
 
 
+def loaded_batches(log: DataFrame) -> DataFrame:
+    """All batches of the last load, put together by what their headers lacked or added."""
+    last = log.select(F.max("ingested_at")).scalar()
+    return (
+        log.filter(F.col("ingested_at") == last)
+        .groupBy("missing_columns", "extra_columns")
+        .agg(F.count("*").alias("files"), F.sum("row_count").alias("rows"), F.min("source_file").alias("first_file"), F.max("source_file").alias("last_file"))
+        .orderBy("missing_columns", "extra_columns")
+    )
+
+
 def largest_companies(scorecard: DataFrame, lookup: DataFrame, k: int = 20) -> DataFrame:
     big = scorecard.orderBy(F.desc("complaints"), "company").limit(k).select("company", "complaints", "raw_name_variants")
-    spelled = lookup.groupBy("company").agg(joined_text("company_raw").alias("raw_spellings"))
+    # at most k companies: only their spellings are gathered
+    theirs = lookup.join(F.broadcast(big.select("company")), "company", "left_semi")
+    spelled = theirs.groupBy("company").agg(joined_text("company_raw").alias("raw_spellings"))
     return big.join(spelled, "company").orderBy(F.desc("complaints"), "company")
 
 
@@ -112,7 +125,7 @@ def build_report(
         "Ids that occurred more than once": lambda: markdown(repeated_ids(tables["bronze"])),
         "Gold tables": lambda: markdown(_sizes({name: tables[name] for name in gold})),
         "Rejected rows by reason": lambda: markdown(reject_reasons(tables["rejects"])),
-        "Source files": lambda: markdown(tables["log"].orderBy(F.desc("ingested_at"), "batch_id").limit(20)),
+        "Source files": lambda: markdown(loaded_batches(tables["log"])),
         "Completeness (Silver)": lambda: markdown(completeness(silver)),
         "Flagged rows (kept, not deleted)": lambda: markdown(flag_summary(silver)),
         "Invalid state codes": lambda: markdown(invalid_states(silver)),

@@ -68,15 +68,6 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small scan enough partitions for the cores; inputs with many splits stay as they are.
-
-    A Parquet file with one row group is one task however large the machine is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/caselake/{uuid.uuid4().hex}/{name}"

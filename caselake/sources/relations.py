@@ -15,6 +15,7 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 SEED_FOLDER = Path(__file__).parent / "seed_data"
 # Seed file -> its columns, all text.
+LOOKUP_ROW_GROUP = 32 * 1024 * 1024  # smaller row groups than usual: a lookup reads one or two
 SEEDS = {
     "product_map": ["product", "product_group"],
     "issue_map": ["issue_raw", "issue_clean"],
@@ -74,3 +75,14 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     """
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_for_lookups(df: DataFrame, path: str, day: str, then: Sequence[str], row_id: str) -> DataFrame:
+    """Replace a table laid out for lookups by day and by id: files hold ranges of days, sorted within, so that
+    a filter on the day skips the other files and row groups by their statistics; a Bloom filter does the
+    same for the id."""
+    order = [F.col(day).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in then]]
+    laid_out = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = laid_out.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{row_id}", "true")
+    writer.option("parquet.block.size", str(LOOKUP_ROW_GROUP)).parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -1,7 +1,9 @@
 import csv
+import glob
 import random
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from caselake.operators.checks import GateError
 from caselake.plans.medallion import Warehouse, run_layers, tables
 from caselake.sources import bronze as B
 from caselake.sources import files as FL
+from caselake.sources import relations as R
 from caselake.sources.relations import inline_relation
 
 HEADER = [
@@ -177,12 +180,61 @@ def test_layers(spark, tmp_path):
     again = run_layers(spark, warehouse, start="silver", now=now)
     assert {r["complaint_id"]: r for r in tables(spark, warehouse)["silver"].collect()} == silver
     assert "bronze" not in again.timings
+    assert stored["fct_complaints"].count() == len(silver) and stored["dim_company"].filter("company_key = -1").count() == 1
     assert spark.read.parquet(warehouse.path("snapshots")).count() == stored["bronze"].count()
 
 
+def readable(spark, warehouse):
+    return {name: sorted(map(str, df.collect())) for name, df in tables(spark, warehouse).items() if name not in ("bronze", "log")}
+
+
+@pytest.mark.parametrize("bad, message", [(row("20", company=""), "company is set"), (row("21", day="2031-01-01"), "in range")])
+def test_a_failing_silver_leaves_the_old_tables(spark, tmp_path, bad, message):
+    warehouse, now = Warehouse(str(tmp_path / "lake")), datetime(2025, 3, 1)
+    good = [r for r in ROWS if r[12] != "5"]
+    run_layers(spark, warehouse, write_csv(tmp_path / "c.csv", good), now=now)
+    before = readable(spark, warehouse)
+    with pytest.raises(GateError, match=message):
+        run_layers(spark, warehouse, write_csv(tmp_path / "d.csv", [*good, bad]), now=now)
+    assert readable(spark, warehouse) == before
+
+
+def test_failing_seeds_and_marts(spark, tmp_path):
+    warehouse, now = Warehouse(str(tmp_path / "lake")), datetime(2025, 3, 1)
+    path = write_csv(tmp_path / "c.csv", [r for r in ROWS if r[12] != "5"])
+    run_layers(spark, warehouse, path, now=now)
+    before = readable(spark, warehouse)
+    with pytest.raises(GateError, match="is in dim_date"):  # a calendar without the facts' days
+        run_layers(spark, warehouse, start="gold", now=now, calendar=(date(2020, 1, 1), date(2021, 1, 1)))
+    after = readable(spark, warehouse)
+    assert after["fct_complaints"] == before["fct_complaints"] and after["dim_date"] == before["dim_date"]
+    seeds = tmp_path / "seeds"
+    seeds.mkdir()
+    for name, columns in R.SEEDS.items():
+        rows = R.seed_rows(name)
+        write_csv(seeds / f"{name}.csv", rows + rows[:1] * (name == "product_map"), columns)
+    with pytest.raises(GateError, match="product_map.product is unique"):
+        run_layers(spark, warehouse, path, now=now, seed_folder=str(seeds))
+
+
+def test_layout_skips_files_and_row_groups(spark, tmp_path):
+    rows = [(i, date(2020, 1, 1) + timedelta(days=i * 7919 % 1500), f"c{i % 50}") for i in range(20_000)]
+    df = inline_relation(spark, rows, "complaint_id LONG, date_received DATE, company STRING").repartition(8)
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as if the table were large
+    written = R.write_for_lookups(df, path, "date_received", ["company"], "complaint_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert written.count() == 20_000
+    groups = [pq.ParquetFile(f).metadata.row_group(0).column(1).statistics for f in glob.glob(f"{path}/*.parquet")]
+    day = date(2021, 6, 1)
+    assert len(groups) == 4 and sum(g.min <= day <= g.max for g in groups) == 1
+    blooms = [pq.ParquetFile(f).metadata.row_group(0).column(0) for f in glob.glob(f"{path}/*.parquet")]
+    assert all(b.path_in_schema == "complaint_id" for b in blooms)
+
+
 def test_gate_stops_before_gold_is_trusted(spark, tmp_path):
-    # a future day makes a later month than the running one
+    # one complaint is dated in the future
     warehouse = Warehouse(str(tmp_path / "lake"))
     path = write_csv(tmp_path / "c.csv", ROWS)
-    with pytest.raises(GateError, match="partial"):
+    with pytest.raises(GateError, match="in range"):
         run_layers(spark, warehouse, path, now=datetime(2025, 3, 1))

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import random
 from datetime import date, datetime
@@ -39,6 +40,31 @@ def test_salted_lookup_join_equals_broadcast(spark, skewed):
     )
 
 
+def test_equal_rows_spread_over_salts(spark):
+    equal = spark.range(1000).select(F.lit("hot").alias("k")).repartition(4)
+    hot = J.hot_keys(equal, ["k"])
+    assert [r.k for r in hot.collect()] == ["hot"]
+    assert J.with_salt(equal, hot, ["k"], 8).select("_salt").distinct().count() == 8
+    lookup = inline_relation(spark, [("hot", 1), ("k1", 2), ("k9", 3)], "k STRING, v INT")
+    assert J.lookup_join(equal, lookup, ["k"], max_rows=2, salts=8).filter("v = 1").count() == 1000
+
+
+@pytest.mark.parametrize("how", ["right", "full", "left_anti"])
+def test_other_joins_are_rejected(spark, skewed, how):
+    lookup = inline_relation(spark, [("hot", 1)], "k STRING, v INT")
+    for most in (1, 0):
+        with pytest.raises(ValueError, match=how):
+            J.lookup_join(skewed, lookup, ["k"], how, max_rows=most)
+
+
+def test_sample_orders_no_wide_rows(spark):
+    rows = [(i // 3, f"text {i}") for i in range(3000)]
+    df = inline_relation(spark, rows, "id LONG, t STRING").repartition(6)
+    got = sorted((r.id, r.t) for r in G.reproducible_sample(df, "id", 100).collect())
+    md5 = lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest()
+    assert got == sorted(sorted(rows, key=lambda r: (md5(r[0]), *r))[:100])
+
+
 def test_broadcast_only_after_the_size_check(spark):
     df = inline_relation(spark, [("a" * 100,)] * 50, "t STRING")
     assert J.fits_broadcast(df) and J.fits_broadcast(df.repartition(2))
