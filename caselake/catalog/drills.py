@@ -356,10 +356,39 @@ def _(spark, sf):
     return G.distinct_profile(bronze_table(spark, sf), PROFILED)
 
 
-@query("d16_profile")
+_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_TEXTS = ["l_returnflag", "l_linestatus"]
+
+
+@query("d16_profile", " UNION ALL ".join(
+    [
+        f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+        f"round(stddev(CAST({c} AS DOUBLE)), 4) AS spread, count(*) AS rows, true AS distinct_within_5_percent, true AS quantiles_within_1_percent FROM lineitem"
+        for c in _NUMBERS
+    ]
+    + [
+        f"SELECT '{c}', NULL, NULL, NULL, NULL, count(*), true, true FROM lineitem" for c in _TEXTS
+    ]
+))
 def _(spark, sf):
-    # distinct counts and quantiles are estimates, as in the reference's column profile
-    return G.profile(table(spark, sf, "lineitem"))
+    # distinct counts and quantiles are estimates: their distance from exact counts over the same rows is reported
+    rows = table(spark, sf, "lineitem").select(*_NUMBERS, *_TEXTS)
+    found = {r["column_name"]: r for r in G.profile(rows).collect()}  # one row per column
+    exact = [F.count_distinct(c).alias(f"{c}_n") for c in found]
+    exact += [F.count_if(F.col(c) < found[c][q]).alias(f"{c}_{q}_below") for c in _NUMBERS for q in ("q25", "q50", "q75")]
+    exact += [F.count_if(F.col(c) <= found[c][q]).alias(f"{c}_{q}_upto") for c in _NUMBERS for q in ("q25", "q50", "q75")]
+    true = rows.agg(*exact).first()
+
+    def checked(c):
+        r, n = found[c], found[c]["count"]
+        number = c in _NUMBERS
+        ranks = [true[f"{c}_{q}_below"] <= (p + 0.01) * n and true[f"{c}_{q}_upto"] >= (p - 0.01) * n for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)) if number]
+        near = abs(r["approx_unique"] - true[f"{c}_n"]) <= 0.05 * true[f"{c}_n"]
+        figures = (float(r["min"]), float(r["max"]), round(r["avg"], 6), round(r["std"], 4)) if number else (None,) * 4
+        return (c, *figures, n, near, all(ranks))
+
+    kinds = "column_name STRING, low DOUBLE, high DOUBLE, mean DOUBLE, spread DOUBLE, rows BIGINT, distinct_within_5_percent BOOLEAN, quantiles_within_1_percent BOOLEAN"
+    return inline_relation(spark, [checked(c) for c in found], kinds)
 
 
 @query("d17_null_percentages", f"WITH {RAW_SQL}\n" + " UNION ALL ".join(

@@ -222,7 +222,7 @@ def profile(df: DataFrame) -> DataFrame:
             "column_type": F.max(F.lit(field.dataType.simpleString())),
             "min": F.min(c).cast("string"),
             "max": F.max(c).cast("string"),
-            "approx_unique": F.approx_count_distinct(c),
+            "approx_unique": F.approx_count_distinct(c, 0.01),
             "avg": F.avg(number),
             "std": F.stddev(number),
             **{q: F.percentile_approx(number, p) for q, p in quantiles.items()},
