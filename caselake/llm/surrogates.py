@@ -48,8 +48,15 @@ PATTERNS = {
     "name": _NAME,
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# a text without any of these holds no entity
-HINT = r"[0-9@]|(?i:password|passwd|pwd|token|secret|api_?key)[\"']?\s{0,2}[=:]|" + _TITLE + r"\.? \p{Lu}"
+
+
+def may_hold(text: Column) -> Column:
+    """False for texts that cannot hold an entity: no digit, no sign of an address or a secret, no title."""
+    hint = text.rlike("[0-9@=:]")
+    for title in (*MALE, *FEMALE, *ANY):
+        hint = hint | text.contains(f"{title} ") | text.contains(f"{title}. ")
+    return F.coalesce(hint, F.lit(False))
+
 
 # name parts by script; the end tells the gender of given names
 PARTS = {
@@ -286,10 +293,8 @@ def moved_entities(found: DataFrame, key: str) -> DataFrame:
 def replace_entities(docs: DataFrame, keep: Sequence[str], key_column: str = "doc_id", text: str = "text", key: str = KEY) -> DataFrame:
     """row (struct of ``keep``), clean (the text with surrogates), entities (matches replaced)."""
     t = F.col(f"`{text}`")
-    # matches are found once; a null or entity-free text has none
-    matches = F.when(t.rlike(HINT), F.regexp_extract_all(t, F.lit(ENTITY), 0)).otherwise(F.array().cast("array<string>"))
     name = F.concat_ws("|", F.col(f"`{key_column}`").cast("string"), F.xxhash64(t).cast("string"))
-    held = docs.select(name.alias("name"), matches.alias("m")).filter(F.size("m") > 0)
+    held = docs.filter(may_hold(t)).select(name.alias("name"), F.regexp_extract_all(t, F.lit(ENTITY), 0).alias("m"))
     listed = held.select("name", F.explode("m").alias("raw")).select("name", F.explode(entities_in(F.col("raw"))).alias("e"))
     listed = materialise(listed.select("name", "e.kind", "e.canon").distinct(), "entities")
     moved = moved_entities(listed.select("kind", "canon").distinct(), key)
@@ -303,15 +308,15 @@ def replace_entities(docs: DataFrame, keep: Sequence[str], key_column: str = "do
         tries = F.broadcast(tries)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), t.alias("t"), name.alias("name"))
     joined = rows.join(tries, "name", "left").withColumn("moved", F.coalesce("moved", F.create_map().cast("map<string,int>")))
-    hinted = F.col("t").rlike(HINT)
-    found = F.regexp_extract_all("t", F.lit(ENTITY), 0)
-    gaps = F.split("t", ENTITY, -1)
-    new = F.transform(found, lambda raw: replacement(raw, F.col("moved"), key))
-    mended = F.array_join(F.flatten(F.zip_with(gaps, new, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    return joined.select(
+    # one column per step: each is used more than once and must not be computed again
+    found = F.when(may_hold(F.col("t")), F.regexp_extract_all("t", F.lit(ENTITY), 0)).otherwise(F.array().cast("array<string>"))
+    split = joined.withColumn("found", found).withColumn("gaps", F.when(F.size("found") > 0, F.split("t", ENTITY, -1)))
+    new = F.transform("found", lambda raw: replacement(raw, F.col("moved"), key))
+    mended = F.array_join(F.flatten(F.zip_with("gaps", new, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    return split.select(
         "row",
-        F.when(hinted, mended).otherwise(F.col("t")).alias("clean"),
-        F.when(hinted, F.size(F.filter(found, lambda r: kind_of(r) != "none"))).otherwise(0).cast("long").alias("entities"),
+        F.when(F.size("found") > 0, mended).otherwise(F.col("t")).alias("clean"),
+        F.size(F.filter("found", lambda r: kind_of(r) != "none")).cast("long").alias("entities"),
     )
 
 
