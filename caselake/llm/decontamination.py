@@ -7,7 +7,8 @@ that follow each other in no item, end every match, so whole stretches between t
 with numpy before the automaton runs.
 
 Items are packed into shards of at most ``shard_words`` words, one automaton each, and a document is
-streamed through all shards: what a worker holds has a fixed bound however large the benchmark is.
+streamed through all shards. A worker holds the words of the items and at most ``SHARDS_IN_MEMORY``
+automata; with more shards than that it builds them again for every batch.
 
 Defined results: a null text has no words; an item without words matches nothing; a null item_id
 still marks words but is not listed; repeated items count once per id; an empty benchmark leaves all
@@ -17,7 +18,7 @@ documents as they are; repeated documents are each judged alone; other columns a
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain, repeat
 
 import numpy as np
@@ -155,7 +156,7 @@ class Automaton:
                         up = link[up]
 
 
-def hits(texts: Sequence[str | None], shards: Sequence[Automaton]) -> Iterator[tuple[int, np.ndarray, set]]:
+def hits(texts: Sequence[str | None], shards: Iterable[Automaton]) -> Iterator[tuple[int, np.ndarray, set]]:
     """(words, which of them are hit, ids of the items found) for each text."""
     words = [words_of(t) for t in texts]
     sizes = np.array([len(w) + 1 for w in words], dtype=np.int64)
@@ -188,7 +189,7 @@ def without(text: str, spans: Sequence[tuple[int, int]]) -> str:
     return b"".join([*kept, raw[at:]]).decode()
 
 
-def cleaned(text: str, hit: np.ndarray, shards: Sequence[Automaton], min_span: int) -> str:
+def cleaned(text: str, hit: np.ndarray, shards: Iterable[Automaton], min_span: int) -> str:
     """Spans of ``min_span`` hit words or more go, until what is left holds none."""
     spans = [s for s in spans_of(hit) if s[1] - s[0] >= min_span]
     while spans:
@@ -240,6 +241,16 @@ def _automaton(shard, window: int) -> Automaton:
     return _built[at][0]
 
 
+class _Automata:
+    """The automata of all shards, one after the other."""
+
+    def __init__(self, shards: list, window: int):
+        self.shards, self.window = shards, window
+
+    def __iter__(self) -> Iterator[Automaton]:
+        return (_automaton(s, self.window) for s in self.shards)
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -262,7 +273,7 @@ def find_leaks(
     fields += [T.StructField("clean", T.StringType())] * clean
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = [_automaton(s, window) for s in shards]
+        automata = _Automata(shards, window)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             out: list[list] = [[], [], [], [], []]
