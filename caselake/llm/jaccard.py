@@ -44,11 +44,9 @@ WORDS = 5
 PERCENT = 75
 OFTEN = 4  # documents of a shingle beyond which its frequency decides its place
 FREQUENT = 1_000_000  # shingles told to the tasks, the most frequent ones
-COUNTED = 0.45  # share of the first order's range, where prefixes lie, in which shingles are counted
 RANGE_SHINGLES = 4_000_000  # counted by one task
 STAR_ROUNDS = 2
 BROADCAST_ROWS = 1_000_000
-_CUT = np.uint64(int(COUNTED * 2**64))
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -72,9 +70,9 @@ def ordered(s: np.ndarray, frequent: Frequent, second: bool, size: int) -> np.nd
     """The first ``size`` of a sorted set under the first or the second order."""
     group = np.zeros(len(s), dtype=np.uint8)
     if len(frequent.shingle):
-        low = s[: np.searchsorted(s, _CUT)] >> np.uint64(24)
-        at = np.minimum(np.searchsorted(frequent.shingle, low), len(frequent.shingle) - 1)
-        group[: len(low)] = np.where(frequent.shingle[at] == low, frequent.group[at], 0)
+        upper = s >> np.uint64(24)
+        at = np.minimum(np.searchsorted(frequent.shingle, upper), len(frequent.shingle) - 1)
+        group = np.where(frequent.shingle[at] == upper, frequent.group[at], 0)
     if second:
         return s[np.lexsort((mix(s ^ _SECOND), group))[:size]]
     return s[:size] if not group[:size].any() else s[np.argsort(group, kind="stable")[:size]]
@@ -105,9 +103,9 @@ def document_classes(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def frequent_shingles(docs: DataFrame, shingles: int, text: str, often: int = OFTEN, most: int = FREQUENT) -> Frequent:
-    """Shingles in the counted part of the first order with more than ``often`` documents."""
-    ranges = max(64, -(-int(shingles * COUNTED) // RANGE_SHINGLES))
-    width = -(-(int(_CUT) >> 24) // ranges)
+    """Shingles with more than ``often`` documents, the most frequent ``most`` of them."""
+    ranges = max(64, -(-shingles // RANGE_SHINGLES))
+    width = -(-(1 << 40) // ranges)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -128,9 +126,9 @@ def frequent_shingles(docs: DataFrame, shingles: int, text: str, often: int = OF
         size = 0
         for b in batches:
             for s in shingle_sets(b.column(0).to_pylist(), WORDS):
-                low = s[: np.searchsorted(s, _CUT)] >> np.uint64(24)
-                held.append(low[np.diff(low, prepend=np.uint64(2**63)) != 0])
-                size += len(low)
+                upper = s >> np.uint64(24)
+                held.append(upper[np.diff(upper, prepend=np.uint64(2**63)) != 0])
+                size += len(upper)
                 if size > RANGE_SHINGLES // 2:
                     yield flush()
                     size = 0
@@ -293,6 +291,7 @@ def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for r in batch.to_pylist():
                 n = [r["n_a"], r["n_b"]]
+                # shared shingles outside of both prefixes lie beyond the prefix that ends first in the order
                 beyond = min(k - prefix_size(k, percent) for k in n)
                 least = max(1, int(need(n[0], n[1], percent)) - beyond)
                 common = (len(np.intersect1d(*[np.frombuffer(r[f"p{k}_{side}"], np.uint32) for side in "ab"], assume_unique=True)) for k in (1, 2))
@@ -318,9 +317,18 @@ def _labelled(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _stars(rows: DataFrame, percent: int, turn: int) -> DataFrame:
-    """For each class the leader that it meets most often among those of fitting length."""
-    smallest = F.struct("n", "cls", "root")
-    leader = rows.groupBy("token").agg((F.min(smallest) if turn % 2 == 0 else F.max(smallest)).alias("l"))
+    """For each class the leader that it meets most often among those of fitting length.
+
+    In even turns a shingle's leader is the class whose prefix is shared most, for its size: among near
+    copies that is the text they were made from. Odd turns draw the leaders, for what that missed.
+    """
+    if turn % 2 == 0:
+        shared = rows.groupBy("token").agg(F.count("*").alias("others"))
+        rank = rows.join(shared, "token").groupBy("cls").agg((F.sum("others") / F.max("n")).alias("rank"))
+        ranked = rows.join(rank, "cls")
+    else:
+        ranked = rows.withColumn("rank", F.xxhash64("root", F.lit(turn)).cast("double"))
+    leader = ranked.groupBy("token").agg(F.max(F.struct("rank", "cls", "n", "root")).alias("l"))
     met = rows.join(leader, "token").filter("root <> l.root")
     fits = F.least("n", "l.n") * 100 >= F.greatest("n", "l.n") * percent
     counted = met.filter(fits).groupBy("cls", "n", F.col("l.cls").alias("b")).count()
