@@ -292,7 +292,7 @@ def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for r in batch.to_pylist():
                 n = [r["n_a"], r["n_b"]]
                 # shared shingles outside of both prefixes lie beyond the prefix that ends first in the order
-                beyond = min(k - prefix_size(k, percent) for k in n)
+                beyond = max(k - prefix_size(k, percent) for k in n)
                 least = max(1, int(need(n[0], n[1], percent)) - beyond)
                 common = (len(np.intersect1d(*[np.frombuffer(r[f"p{k}_{side}"], np.uint32) for side in "ab"], assume_unique=True)) for k in (1, 2))
                 keep.append(all(c >= least for c in common))
