@@ -9,7 +9,8 @@ domains and name parts are replaced by themselves, so that "Ms. Ada Reed" and "M
 
 Collision checks: all distinct entities of the corpus are listed. Where two would share a surrogate,
 or a surrogate equals an entity that exists, all but one move on to their next surrogate, until no
-clash is left. Only entities that moved need a lookup; every other surrogate is computed in place,
+clash is left. After ``PLAIN_ATTEMPTS`` moves surrogates get longer with every move, so that there are
+always enough of them and the rounds end. Only entities that moved need a lookup; every other surrogate is computed in place,
 so the texts are not shuffled.
 
 Defined results: null and empty texts, and texts without entities, stay as they are; repeated rows
@@ -29,7 +30,7 @@ from caselake.session import materialise
 
 KEY = "surrogate-key-1"  # production sets its own secret
 BROADCAST_ROWS = 500_000
-MOST_ROUNDS = 30
+PLAIN_ATTEMPTS = 4  # surrogates after more moves are longer, by a letter or digit a move
 
 MALE, FEMALE, ANY = ("Mr", "Herr", "Señor", "Monsieur", "г-н"), ("Mrs", "Ms", "Frau", "Señora", "Madame", "г-жа"), ("Dr", "Prof")
 _TITLE = "(?:" + "|".join(sorted((*MALE, *FEMALE, *ANY), key=len, reverse=True)) + ")"
@@ -44,9 +45,10 @@ PATTERNS = {
     "card": r"(?<![\d.+-])(?:(?:\d{4}[ -]){3}\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\d])",
     "access": r"(?<![A-Z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "secret": r"(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)[\"']?\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9_/+=-]{8,}",
+    "secret": r"(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)[\"']?\s{0,2}[=:]\s{0,2}[\"']?)(?=[_/+=-]*+[A-Za-z0-9])[A-Za-z0-9_/+=-]{8,}",
     "name": _NAME,
 }
+_HEXADECIMAL = "^(?:[0-9a-f]+|[0-9A-F]+)$"
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
@@ -65,6 +67,17 @@ PARTS = {
     "greek": (["αλ", "βερ", "γαλ", "δορ", "ζαν", "θελ", "καλ", "λαμ", "μαρ", "νικ", "παλ", "ροδ", "σελ", "τιμ", "φιλ", "χαρ"], ["ος", "ης", "ας"], ["α", "η", "ια"], ["ιδης", "ακης", "ου", "ας"]),
 }
 
+# lower-case letters of other scripts with capitals: first, last, step
+ALPHABETS = [
+    "".join(map(chr, range(first, last + 1, step)))
+    for first, last, step in (
+        (0x561, 0x586, 1), (0x10D0, 0x10F0, 1), (0xAB70, 0xABBF, 1), (0x2D00, 0x2D25, 1), (0x2C30, 0x2C5E, 1), (0x2C81, 0x2CB1, 2), (0x10428, 0x1044F, 1),
+        (0x104D8, 0x104FB, 1), (0x10CC0, 0x10CF2, 1), (0x118C0, 0x118DF, 1), (0x16E60, 0x16E7F, 1), (0x1E922, 0x1E943, 1),
+    )
+]
+_OTHER = "[" + "".join(ALPHABETS) + "]"
+LATIN, CYRILLIC, GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхц", "αβγδεζηικλμνοπρστυφχω"
+
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` evaluated once: expressions of expressions would grow without bound."""
@@ -118,6 +131,13 @@ def _letter(digest: Column, i: Column, alphabet: str) -> Column:
     return F.substring(F.lit(alphabet), _pick(digest, i, len(alphabet)) + 1, F.lit(1))
 
 
+def _longer(digest: Column, more: Column, alphabet: Column) -> Column:
+    """What ``more`` moves add to a surrogate."""
+    letter = lambda d, i: F.substring(alphabet, _pick(d, i, F.length(alphabet)) + 1, F.lit(1))
+    added = lambda d: F.array_join(F.transform(F.sequence(F.lit(1), more), lambda i: letter(d, i)), "")
+    return F.when(more > 0, let(F.sha2(digest, 512), added)).otherwise("")
+
+
 def _masked(canon: Column, digest: Column, hexadecimal: Column | None = None) -> Column:
     """Every letter and digit replaced by another of its class."""
     low = F.lit(False) if hexadecimal is None else hexadecimal
@@ -145,8 +165,8 @@ def _numbers(canon: Column, digest: Column, first: Column) -> Column:
     return F.concat(F.substring(canon, F.lit(1), first - 1), F.array_join(new, ""))
 
 
-def _card(canon: Column, digest: Column) -> Column:
-    body = _numbers(F.substring(canon, F.lit(1), F.length(canon) - 1), digest, F.lit(2))
+def _card(canon: Column, digest: Column, added: Column) -> Column:
+    body = F.concat(_numbers(F.substring(canon, F.lit(1), F.length(canon) - 1), digest, F.lit(2)), added)
     checked = lambda b: F.concat(b, ((10 - let(F.concat(b, F.lit("0")), _luhn) % 10) % 10).cast("string"))
     return let(body, checked)
 
@@ -162,17 +182,22 @@ def _ip(canon: Column, digest: Column) -> Column:
     return F.array_join(F.transform(F.split(canon, r"\."), octet), ".")
 
 
-def _name(kind: Column, canon: Column, digest: Column) -> Column:
-    """canon is one name part in lower case; kind tells its role."""
-    out = None
+def _name(kind: Column, canon: Column, digest: Column, alphabet: Column, added: Column) -> Column:
+    """canon is one name part in lower case; kind tells its role. Scripts without made names get other letters of
+    their own, and letters of no known alphabet a Latin name."""
+    out = latin = None
     for script, (roots, male, female, ends) in PARTS.items():
-        some = lambda words, i: F.element_at(F.array(*map(F.lit, words)), _pick(digest, i, len(words)) + 1)
+        some = lambda words, i: F.element_at(F.split(F.lit(" ".join(words)), " "), _pick(digest, i, len(words)) + 1)
         end = F.when(kind == "given male", some(male, 3)).when(kind == "given female", some(female, 3)).when(kind == "surname", some(ends, 3)).otherwise(some(male + female, 3))
-        # a fourth syllable of two letters makes more names than any corpus needs in a few attempts
-        made = F.initcap(F.concat(some(roots, 0), some(roots, 1), F.when(_pick(digest, 5, 2) == 0, some(roots, 2)).otherwise(""), end))
+        third = F.when(_pick(digest, 5, 2) == 0, some(roots, 2)).otherwise("")
+        made = F.initcap(F.concat(some(roots, 0), some(roots, 1), third, added, end))
+        latin = made if latin is None else latin
         block = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}[script]
         out = F.when(canon.rlike(block), made) if out is None else out.when(canon.rlike(block), made)
-    return out.otherwise(canon)
+    letter = lambda i: F.substring(alphabet, _pick(digest, i, F.length(alphabet)) + 1, F.lit(1))
+    other = F.transform(F.split(canon, ""), lambda c, i: F.when(F.contains(alphabet, c), letter(i)).otherwise(c))
+    out = out.when(canon.rlike(_OTHER), F.initcap(F.concat(F.array_join(other, ""), added)))
+    return out.otherwise(latin)
 
 
 def canonical(kind: Column, raw: Column) -> Column:
@@ -193,22 +218,37 @@ def _domain(domain: Column, key: str) -> Column:
 
 def core(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a canonical form."""
-    bound = F.struct(kind.alias("kind"), canon.alias("canon"), _digest(_hashed(kind), canon, attempt, key).alias("digest"))
-    return let(bound, lambda b: _core(b["kind"], b["canon"], b["digest"], key))
+    more = F.greatest(attempt - PLAIN_ATTEMPTS, F.lit(0))
+    bound = F.struct(kind.alias("kind"), canon.alias("canon"), _digest(_hashed(kind), canon, attempt, key).alias("digest"), _alphabet(kind, canon).alias("alphabet"), more.alias("more"))
+    added = lambda b: F.struct(*[b[c].alias(c) for c in ("kind", "canon", "digest", "alphabet")], _longer(b["digest"], b["more"], b["alphabet"]).alias("added"))
+    return let(let(bound, added), lambda b: _core(b["kind"], b["canon"], b["digest"], b["alphabet"], b["added"], key))
+
+
+def _alphabet(kind: Column, canon: Column) -> Column:
+    """The letters or digits that make a surrogate longer."""
+    name = F.when(canon.rlike(r"\p{IsLatin}"), LATIN).when(canon.rlike(r"\p{IsCyrillic}"), CYRILLIC).when(canon.rlike(r"\p{IsGreek}"), GREEK)
+    for letters in ALPHABETS:
+        name = name.when(canon.rlike(f"[{letters}]"), letters)
+    return (
+        F.when(kind.isin("given male", "given female", "given", "surname"), name.otherwise(LATIN))
+        .when((kind == "email") | ((kind == "secret") & ~canon.rlike(_HEXADECIMAL)), LATIN)
+        .when(kind == "access", LATIN.upper())
+        .otherwise("0123456789")
+    )
 
 
-def _core(kind: Column, canon: Column, digest: Column, key: str) -> Column:
+def _core(kind: Column, canon: Column, digest: Column, alphabet: Column, added: Column, key: str) -> Column:
     calling = F.when(~canon.startswith("+"), 1).when(canon.rlike(r"^\+[17]"), 3).otherwise(4)
     return (
-        F.when(kind == "email", F.concat(_masked(F.substring_index(canon, "@", 1), digest), F.lit("@"), let(F.substring_index(canon, "@", -1), lambda d: _domain(d, key))))
-        .when(kind == "phone", _numbers(canon, digest, calling))
-        .when(kind == "card", _card(canon, digest))
-        .when(kind == "ip", _ip(canon, digest))
-        .when(kind == "ssn", _numbers(canon, digest, F.lit(1)))
-        .when(kind == "access", F.concat(F.substring(canon, 1, 4), _masked(F.substring(canon, F.lit(5), F.length(canon)), digest)))
-        .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _masked(F.substring(canon, F.lit(3), F.length(canon)), digest)))
-        .when(kind == "secret", _masked(canon, digest, canon.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")))
-        .when(kind.isin("given male", "given female", "given", "surname"), _name(kind, canon, digest))
+        F.when(kind == "email", F.concat(_masked(F.substring_index(canon, "@", 1), digest), added, F.lit("@"), let(F.substring_index(canon, "@", -1), lambda d: _domain(d, key))))
+        .when(kind == "phone", F.concat(_numbers(canon, digest, calling), added))
+        .when(kind == "card", _card(canon, digest, added))
+        .when(kind == "ip", F.concat(_ip(canon, digest), F.when(added != "", F.concat(F.lit("."), added)).otherwise("")))
+        .when(kind == "ssn", F.concat(_numbers(canon, digest, F.lit(1)), added))
+        .when(kind == "access", F.concat(F.substring(canon, 1, 4), _masked(F.substring(canon, F.lit(5), F.length(canon)), digest), added))
+        .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _masked(F.substring(canon, F.lit(3), F.length(canon)), digest), added))
+        .when(kind == "secret", F.concat(_masked(canon, digest, canon.rlike(_HEXADECIMAL)), added))
+        .when(kind.isin("given male", "given female", "given", "surname"), _name(kind, canon, digest, alphabet, added))
         .otherwise(canon)
     )
 
@@ -256,7 +296,9 @@ def replacement(raw: Column, moved: Column, key: str) -> Column:
             place = F.length(F.regexp_replace(F.substring(raw, F.lit(1), i + 1), "[^0-9]", ""))
             return F.when(c.between("0", "9"), F.substring(F.regexp_replace(new, "[^0-9]", ""), place, F.lit(1))).otherwise(c)
 
-        return F.array_join(F.transform(F.split(raw, ""), written), "")
+        places = F.length(F.regexp_replace(raw, "[^0-9]", ""))
+        longer = F.substring(F.regexp_replace(new, "[^0-9]", ""), places + 1, F.length(new))
+        return F.concat(F.array_join(F.transform(F.split(raw, ""), written), ""), longer)
 
     def shown(kind: Column, new: Column) -> Column:
         spaced = F.when(raw.contains(" "), F.rtrim(F.regexp_replace(new, "(.{4})", "$1 "))).otherwise(new)
@@ -275,19 +317,20 @@ def moved_entities(found: DataFrame, key: str) -> DataFrame:
     """kind, canon, attempt of the entities whose first surrogate clashes. ``found``: distinct kind, canon."""
     current = materialise(found.withColumn("attempt", F.lit(0)).withColumn("core", core(F.col("kind"), F.col("canon"), F.lit(0), key)), "entities")
     first = Window.partitionBy("kind", "core").orderBy("canon")
-    for _ in range(MOST_ROUNDS):
+    again = core(F.col("kind"), F.col("canon"), F.col("attempt"), key)  # built once: a long expression
+    while True:
         real = current.select("kind", F.col("canon").alias("core"), F.lit(True).alias("real"))
         # an e-mail's and a name's surrogate is compared in the form of the canon
         held = current.withColumn("same", F.row_number().over(first)).withColumn("shown", F.lower("core"))
         checked = held.join(real.select("kind", F.lower("core").alias("shown"), "real").distinct(), ["kind", "shown"], "left")
         clash = (F.col("same") > 1) | F.coalesce(F.col("real"), F.lit(False))
-        nxt = F.col("attempt") + F.when(clash, 1).otherwise(0)
-        moved = checked.select("kind", "canon", nxt.alias("attempt"), F.when(clash, core(F.col("kind"), F.col("canon"), nxt, key)).otherwise(F.col("core")).alias("core"), clash.alias("clash"))
+        # one column per step: inside of a select's lambda "attempt" could mean the new or the old one
+        moved = checked.withColumn("clash", clash).withColumn("attempt", F.col("attempt") + F.col("clash").cast("int"))
+        moved = moved.withColumn("core", F.when(F.col("clash"), again).otherwise(F.col("core"))).select("kind", "canon", "attempt", "core", "clash")
         moved = materialise(moved, "entities")
         current = moved.drop("clash")
         if not moved.filter("clash").limit(1).count():
             return current.filter("attempt > 0").select("kind", "canon", "attempt")
-    raise RuntimeError(f"surrogates still clash after {MOST_ROUNDS} rounds")
 
 
 def replace_entities(docs: DataFrame, keep: Sequence[str], key_column: str = "doc_id", text: str = "text", key: str = KEY) -> DataFrame:
