@@ -22,7 +22,7 @@ def duck():
 def test_all_are_registered():
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
