@@ -81,7 +81,7 @@ def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # a table in folders may hold no file to read it from
 
 
 def side_by_side(jobs: dict[str, Callable[[], T]], at_once: int = 4) -> dict[str, T]:
