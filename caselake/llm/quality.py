@@ -10,7 +10,8 @@ Rows whose crc32(doc_id as text) mod 5 is 0 are held out from fitting.
 
 Defined results: null and empty texts have all statistics 0 and get that row's score; a null doc_id
 is never learnt from and not held out; without labels of both kinds every score is the labels' mean
-(0.5 without any); repeated labels of an id count once, the lower one; an empty table gives no rows.
+(0.5 without any); repeated labels of an id count once, the lower one; of documents that
+repeat a labelled id three are learnt from; very long texts are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,13 +24,14 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caselake.llm.registry import query, table
 
 TRAIN_ROWS = 20_000
+ROWS_PER_ID = 3
 CUT = 0.3
 _UPPER, _LOWER, _DIGIT = (bytes(range(a, b)) for a, b in ((65, 91), (97, 123), (48, 58)))
 _MARKS = ("!", "?", ".", ",", "|", "#", "$", "%", "&", "*", "_", "{", "<", "/", ":", "http", "...", "\t")
@@ -95,9 +97,15 @@ class Trees:
 
 
 def fit_trees(
-    x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, bins: int = 64, rate: float = 0.15, ridge: float = 1.0, least: float = 5.0
-) -> Trees:
-    """Boosted trees for the logistic loss, grown level by level from histograms."""
+    x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, bins: int = 64, rate: float = 0.15, ridge: float = 1.0,
+    least: float = 1.0, balance: float = 0.5,
+) -> Trees:
+    """Boosted trees for the logistic loss, grown level by level from histograms.
+
+    Rows of the rarer class weigh more, by the classes' ratio to the power ``balance``. A leaf holds at
+    least a weight (second derivative) of ``least``, or a quarter of the rarer class's if that is less, so
+    that a few dozen labels of either kind can still be told apart.
+    """
     if not len(y) or y.min() == y.max():
         mean = float(np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3))
         empty = np.zeros((0, 0))
@@ -106,13 +114,16 @@ def fit_trees(
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(wide)]
     binned = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(edges)], axis=1)
     cell = binned + np.arange(wide) * bins
-    mean, inner = y.mean(), 2**depth - 1
+    rare = y == (y.mean() < 0.5)
+    weight = np.where(rare, ((~rare).sum() / rare.sum()) ** balance, 1.0)
+    mean, inner = np.average(y, weights=weight), 2**depth - 1
+    least = min(least, 0.25 * weight[rare].sum() * mean * (1 - mean))
     base = float(np.log(mean / (1 - mean)))
     margin = np.full(n, base)
     feature, threshold, value = np.zeros((trees, inner), int), np.full((trees, inner), np.inf), np.zeros((trees, inner + 1))
     for t in range(trees):
         p = 1 / (1 + np.exp(-margin))
-        g, h = y - p, p * (1 - p)
+        g, h = weight * (y - p), weight * p * (1 - p)
         node = np.zeros(n, dtype=np.int64)
         for level in range(depth):
             first, width = 2**level - 1, 2**level
@@ -140,12 +151,15 @@ def held_out(key: Column) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, key: str = "doc_id", per_class: bool = False) -> DataFrame:
     """doc_id, label, text of at most ``most`` labelled rows (of each label if ``per_class``) outside the
-    held-out part: those with the smallest md5 of the id. The sample's bound is what may be broadcast."""
+    held-out part: those with the smallest md5 of the id. The sample's bound is what may be broadcast. Of
+    documents that share a labelled id, ``ROWS_PER_ID`` are taken."""
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & F.col("id").isNotNull())
     known = known.filter(~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"))
     first = lambda rows: rows.orderBy(F.md5(F.col("id").cast("string")), "id").limit(most)
     sample = first(known.filter("y = 0")).unionByName(first(known.filter("y = 1"))) if per_class else first(known)
-    return docs.join(F.broadcast(sample), docs[key] == F.col("id"))
+    known = docs.join(F.broadcast(sample), docs[key] == F.col("id"))
+    of_id = Window.partitionBy("id").orderBy(F.xxhash64(*docs.columns))
+    return known.withColumn("_n", F.row_number().over(of_id)).filter(F.col("_n") <= ROWS_PER_ID).drop("_n")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text") -> Trees:

@@ -287,6 +287,13 @@ def without_repeats(
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes): one row per row of ``docs``."""
     given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     given = given.withColumns({"id": F.coalesce("doc_id", F.lit(NO_ID)), "tie": F.xxhash64("text", F.col("doc_id").isNull())})
+    # rows that repeat id and text are one text with copies
+    repeated = given.groupBy("id", "tie").agg(F.count("*").alias("copies")).filter("copies > 1")
+    repeated = materialise(repeated, "suffix_repeated_rows")
+    single = given.withColumn("copies", F.lit(1).cast("long"))
+    if repeated.limit(1).count():
+        rest = given.join(repeated.select("id", "tie"), ["id", "tie"], "left_anti").withColumn("copies", F.lit(1).cast("long"))
+        single = rest.unionByName(given.dropDuplicates(["id", "tie"]).join(repeated, ["id", "tie"]))
     long = given.filter(F.octet_length("text") >= span).select("id", "tie", "text")
     cut = long.mapInArrow(_cut(_frequent(long, span, gram), span, gram), _ddl(_SEGMENT))
     found = _settle(cut, False, "suffix_buckets")
@@ -299,8 +306,7 @@ def without_repeats(
     for alone, which in ways:
         place = F.struct("anchor", "start", "windows")
         places = marked.filter(which).groupBy("id", "tie").agg(F.collect_list(place).alias("places"))
-        texts = long.dropDuplicates(["id", "tie"]) if alone else long
-        read = places.join(texts, ["id", "tie"]).mapInArrow(_read(span, alone), _ddl(_SEGMENT if alone else _OPEN))
+        read = places.join(single.select("id", "tie", "text"), ["id", "tie"]).mapInArrow(_read(span, alone), _ddl(_SEGMENT if alone else _OPEN))
         if alone:
             gone.append(_settle(read, True, "suffix_windows").filter("kind = 'gone'"))
         else:
@@ -310,12 +316,6 @@ def without_repeats(
     for more in gone[1:]:
         spans = spans.unionByName(more.select("id", "tie", "start", "windows"))
     spans = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "windows")).alias("gone"))
-    repeated = given.groupBy("id", "tie").agg(F.count("*").alias("copies")).filter("copies > 1")
-    repeated = materialise(repeated, "suffix_repeated_rows")
-    single = given.withColumn("copies", F.lit(1).cast("long"))
-    if repeated.limit(1).count():
-        rest = given.join(repeated.select("id", "tie"), ["id", "tie"], "left_anti").withColumn("copies", F.lit(1).cast("long"))
-        single = rest.unionByName(given.dropDuplicates(["id", "tie"]).join(repeated, ["id", "tie"]))
     joined = single.join(spans, ["id", "tie"], "left").select("doc_id", "text", "copies", "gone")
     return joined.mapInArrow(_collapsed(span), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
