@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from caselake.catalog.layers import silver_table
+from caselake.catalog.layers import WITH_SILVER, silver_table
 from caselake.catalog.registry import query
 from caselake.catalog.standin import sql_text, table
 from caselake.functions import scoring as SC
@@ -103,8 +103,36 @@ def _(spark, sf):
     return read_raw_csv(spark, path)
 
 
-@query("j10_company_candidates")
+# all pairs by definition; the longest common subsequence keeps one bit per letter of the first rest in a number
+CANDIDATES_SQL = r"""
+topmost AS (SELECT row_number() OVER (ORDER BY complaints DESC, company) AS id, company AS name, complaints
+  FROM (SELECT company, count(*) AS complaints FROM silver WHERE company IS NOT NULL GROUP BY company)
+  QUALIFY id <= 300),
+tokens AS (SELECT *, list_sort(list_distinct(list_filter(string_split_regex(name, '\s+'), lambda w: w <> ''))) AS words FROM topmost),
+pairs AS (SELECT a.id AS id_a, b.id AS id_b, array_to_string(list_filter(a.words, lambda w: list_contains(b.words, w)), ' ') AS shared,
+    array_to_string(list_filter(a.words, lambda w: NOT list_contains(b.words, w)), ' ') AS rest_a,
+    array_to_string(list_filter(b.words, lambda w: NOT list_contains(a.words, w)), ' ') AS rest_b
+  FROM tokens a JOIN tokens b ON a.id < b.id AND len(a.words) > 0 AND len(b.words) > 0),
+bits AS (SELECT *, if(rest_a = '', [], string_split(rest_a, '')) AS letters, (1::HUGEINT << length(rest_a)) - 1 AS every,
+    if(shared = '', 0, 1) AS gap FROM pairs),
+masks AS (SELECT *, list_transform(if(rest_b = '', [], string_split(rest_b, '')), lambda c: coalesce(list_sum(
+    list_transform(letters, lambda x, i: if(x = c, 1::HUGEINT << (i - 1), 0::HUGEINT))), 0)::HUGEINT) AS found FROM bits),
+common AS (SELECT *, length(rest_a) - bit_count(list_reduce(found, lambda s, m: ((s + (s & m)) | (s - (s & m))) & every, every)) AS same,
+    length(shared) + gap + length(rest_a) AS full_a, length(shared) + gap + length(rest_b) AS full_b FROM masks),
+rated AS (SELECT id_a, id_b, CASE WHEN shared <> '' AND (rest_a = '' OR rest_b = '') THEN 100.0::DOUBLE ELSE greatest(
+    100.0::DOUBLE - 100.0::DOUBLE * (length(rest_a) + length(rest_b) - 2 * same) / (full_a + full_b),
+    if(shared = '', 0, 100.0::DOUBLE - 100.0::DOUBLE * (gap + length(rest_a)) / (length(shared) + full_a)),
+    if(shared = '', 0, 100.0::DOUBLE - 100.0::DOUBLE * (gap + length(rest_b)) / (length(shared) + full_b))) END AS score FROM common),
+listed AS (SELECT id_a, id_b, score FROM (
+    SELECT id_a, id_b, score FROM rated WHERE score >= 88 UNION ALL SELECT id_b, id_a, score FROM rated WHERE score >= 88
+    UNION ALL SELECT id, id, 100.0 FROM topmost)
+  QUALIFY row_number() OVER (PARTITION BY id_a ORDER BY score DESC, id_b) <= 6)
+SELECT least(a.name, b.name) AS name_a, greatest(a.name, b.name) AS name_b, CAST(round_even(max(score), 0) AS BIGINT) AS score,
+  if(a.name < b.name, a.complaints, b.complaints) AS complaints_a, if(a.name < b.name, b.complaints, a.complaints) AS complaints_b, '' AS decision
+FROM listed JOIN topmost a ON a.id = id_a JOIN topmost b ON b.id = id_b WHERE id_a <> id_b GROUP BY ALL"""
+
+
+@query("j10_company_candidates", f"{WITH_SILVER},{CANDIDATES_SQL}")
 def _(spark, sf):
-    # no SQL text: the score has no DuckDB function; tests compare it with all pairs by brute force
     scorecard = materialise(G.company_scorecard(silver_table(spark, sf)), "company_scorecard")
     return company_candidates(scorecard)

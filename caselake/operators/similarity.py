@@ -4,24 +4,38 @@ Only suggests, never merges. The score is the token-set ratio of two names: 100
 words are all in the other, else the best insert/delete similarity of (shared words, shared + rest
 of a, shared + rest of b).
 
-Comparing all pairs is avoided without losing any. A pair can reach the threshold in two ways, and
+Comparing all pairs is avoided without losing any. A pair can reach the threshold in these ways, and
 each leaves a trace that an equi join finds:
 
 * the shared words cover almost all of one name. Then at least one of that name's rarest words,
   as many as may be missing plus one, is a word of the other name;
-* the remaining words are spelled alike. Then most of the letter pairs are the same, and the
-  rarest letter pairs of both names, as many as may differ plus one, have one in common.
+* the remaining words are spelled alike, and the names share a word that few names have: a join on
+  such words, linear in the number of names;
+* the remaining words are spelled alike, and all shared words are frequent ones. For every choice of
+  its frequent words as the shared ones, a name has one remainder. With at most k letters to insert or
+  delete, one of k + 1 segments of the shorter remainder is found unchanged in the longer one, at a
+  place that k limits. Segments are joined on (shared words, length, k, segment number, letters).
+
+What the last two find must also pass a comparison of letter counts before it is scored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import combinations
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caselake.session import materialise
 
+RARE_WORD = 64  # names: words of at most so many names are joined as they are
+MOST_FREQUENT_WORDS = 8  # of one name; with more, its choices of shared words are too many
+LETTER_GROUPS = 32
 PARTNERS = 6  # places per name in the ranking; the name itself normally takes one of them
 
 
@@ -84,10 +98,10 @@ def _pairs(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
     return both.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
 
 
-def possible_pairs(names: DataFrame, min_score: float) -> DataFrame:
+def possible_pairs(names: DataFrame, min_score: float, rare_word: int = RARE_WORD) -> DataFrame:
     """(id_a, id_b), id_a < id_b: every pair that can score ``min_score`` or more, and some others.
 
-    ``names`` has (id, name); both joins below are on rare words or letter pairs.
+    ``names`` has (id int, name). A word of at most ``rare_word`` names is joined as it is.
     """
     d = 1.0 - min_score / 100.0
     if not 0.0 <= d < 0.5:
@@ -102,6 +116,91 @@ def possible_pairs(names: DataFrame, min_score: float) -> DataFrame:
     rare_words = _rarest_first(per_word).filter(F.col("weight_before") <= may_miss + 1e-9)
     covered = _pairs(rare_words, per_word, F.lit(True))
 
+    names_of_word = per_word.groupBy("mark").agg(F.count("*").alias("names"))
+    rare = per_word.join(names_of_word.filter(F.col("names") <= rare_word), "mark")
+    by_word = _pairs(rare, rare, F.col("id_a") < F.col("id_b"))
+
+    frequent = per_word.join(names_of_word.filter(F.col("names") > rare_word), "mark")
+    frequent = frequent.groupBy("id").agg(F.array_sort(F.collect_list("mark")).alias("frequent"))
+    choices = sized.join(frequent, "id", "left").withColumn("frequent", F.coalesce("frequent", F.array().cast("array<string>")))
+    choices = materialise(choices, "candidate_words")
+    few = F.size("frequent") <= MOST_FREQUENT_WORDS
+    keyed = choices.filter(few).select("id", "words", "frequent").mapInArrow(segment_keys(d), "id int, key long, longer boolean")
+    keyed = materialise(keyed, "candidate_segments")
+    shorter = keyed.filter("not longer").select("key", F.col("id").alias("id_a"))
+    longer = keyed.filter("longer").select("key", F.col("id").alias("id_b"))
+    met = shorter.join(longer, "key").filter("id_a <> id_b")
+    alike = by_word.unionByName(met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")))
+    if choices.filter(~few).limit(1).count():
+        alike = alike.unionByName(_by_letter_pairs(sized, choices.filter(~few).select("id"), d))
+
+    letters = F.transform(F.filter(F.split(F.array_join("words", ""), ""), lambda c: c != ""), lambda c: F.ascii(c) % LETTER_GROUPS)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(LETTER_GROUPS - 1)), lambda i: F.size(F.filter("letters", lambda c: c == i)))
+    bags = materialise(sized.withColumn("letters", letters).select("id", "length", counts.alias("bag")), "candidate_letters")
+    left, right = (bags.select(*[F.col(c).alias(f"{c}_{x}") for c in ("id", "length", "bag")]) for x in "ab")
+    apart = F.aggregate(F.zip_with("bag_a", "bag_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda t, x: t + x)
+    likely = alike.distinct().join(left, "id_a").join(right, "id_b").filter(apart <= d * (F.col("length_a") + F.col("length_b")) + 1e-9)
+    return covered.unionByName(likely.select("id_a", "id_b")).distinct()
+
+
+def cut_evenly(length: int, parts: int) -> list[tuple[int, int]]:
+    """(start, length) of ``parts`` segments that differ by at most one letter."""
+    edges = [length * i // parts for i in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+
+
+def _keys(words: list[str], frequent: list[str], d: float) -> Iterator[tuple[str, bool]]:
+    """(key, whether the name is the longer side) for every choice of shared words."""
+    for n in range(len(frequent) + 1):
+        for shared in combinations(frequent, n):
+            rest = " ".join(w for w in words if w not in shared)
+            if not rest:
+                continue
+            both, size = 2 * (len(" ".join(shared)) + (1 if shared else 0)), len(rest)
+            start = " ".join(shared)
+            changes = lambda other: int(d * (both + size + other) + 1e-9)  # noqa: B023, E731
+            other, seen = size, set()
+            while other - size <= changes(other):  # the shorter side: cut into segments
+                k = changes(other)
+                other += 1
+                if k in seen:
+                    continue
+                seen.add(k)
+                if k >= size:
+                    yield f"{start}|{size}|{k}", False
+                    continue
+                for i, (a, m) in enumerate(cut_evenly(size, k + 1)):
+                    yield f"{start}|{size}|{k}|{i}|{rest[a:a + m]}", False
+            other = size
+            while other > 0 and size - other <= changes(other):  # the longer side: look up at shifted places
+                k, more = changes(other), size - other
+                if k >= other:
+                    yield f"{start}|{other}|{k}", True
+                else:
+                    for i, (a, m) in enumerate(cut_evenly(other, k + 1)):
+                        for at in range(max(0, a - (k - more) // 2), min(size - m, a + (k + more) // 2) + 1):
+                            yield f"{start}|{other}|{k}|{i}|{rest[at:at + m]}", True
+                other -= 1
+
+
+def segment_keys(d: float):
+    """(id, words, frequent) -> (id, key, longer)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, words, frequent in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                keys = [(int.from_bytes(blake2b(k.encode(), digest_size=8).digest(), "big", signed=True), longer) for k, longer in set(_keys(words, frequent, d))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(keys), pa.int32()), pa.array([k for k, _ in keys], pa.int64()), pa.array([x for _, x in keys], pa.bool_())],
+                    ["id", "key", "longer"],
+                )
+
+    return run
+
+
+def _by_letter_pairs(sized: DataFrame, ids: DataFrame, d: float) -> DataFrame:
+    """Pairs with one of ``ids`` that may be spelled alike: most of their letter pairs are the same, so the
+    rarest of both, as many as may differ plus one, have one in common."""
     padded = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     letter_pairs = F.transform(
         F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))
@@ -113,10 +212,9 @@ def possible_pairs(names: DataFrame, min_score: float) -> DataFrame:
     occurrences = F.transform(F.sequence(F.lit(1), F.col("times")), lambda n: F.concat("pair", n.cast("string")))
     marks = counted.select("id", "length", F.explode(occurrences).alias("mark"), F.lit(1).alias("weight"))
     may_differ = F.floor(F.col("length") * max(4 * d / (1 + d), 2 * d / (1 - d)) + 1e-9)
-    rare_pairs = _rarest_first(marks).filter(F.col("place") <= may_differ + 1)
+    rare_pairs = materialise(_rarest_first(marks).filter(F.col("place") <= may_differ + 1), "candidate_letter_pairs")
     longest = F.greatest("length_a", "length_b") * (1 - d) <= F.least("length_a", "length_b") * (1 + d) + 1e-9
-    alike = _pairs(rare_pairs, rare_pairs, longest & (F.col("id_a") < F.col("id_b")))
-    return covered.unionByName(alike).distinct()
+    return _pairs(rare_pairs.join(ids, "id", "left_semi"), rare_pairs, longest)
 
 
 def company_candidates(

@@ -244,8 +244,8 @@ def test_candidates_equal_all_pairs(spark):
     for a, b in random.sample(list(itertools.combinations(names, 2)), 400):
         assert S.token_set_score(a, b) == pytest.approx(plain_token_set(a, b))
     numbered = inline_relation(spark, list(enumerate(names)), "id INT, name STRING")
-    for score in (88, 75):
-        possible = {tuple(r) for r in S.possible_pairs(numbered, score).collect()}
+    for score, rare_word in ((88, 64), (88, 3), (75, 0)):  # all, few and no words are rare
+        possible = {tuple(r) for r in S.possible_pairs(numbered, score, rare_word).collect()}
         high = {(i, j) for i, j in itertools.combinations(range(len(names)), 2) if plain_token_set(names[i], names[j]) >= score}
         assert high and high <= possible
     best = {}
@@ -257,3 +257,37 @@ def test_candidates_equal_all_pairs(spark):
     scorecard = inline_relation(spark, volumes, "company STRING, complaints BIGINT")
     found = {(r["name_a"], r["name_b"]): r["score"] for r in S.company_candidates(scorecard, top=1000).collect()}
     assert found == best
+
+
+def grown_names(n, rng):
+    """Names as they grow: frequent words, words of their own, and misspelt copies."""
+    frequent = ["BANK", "CREDIT", "UNION", "FINANCIAL", "SERVICES", "MORTGAGE", "HOME", "LOANS", "FIRST", "NATIONAL"]
+    names = []
+    while len(names) < n:
+        if names and rng.random() < 0.15:
+            letters = list(rng.choice(names))
+            letters[rng.randrange(len(letters))] = rng.choice("ABCDEFGH")
+            names.append("".join(letters))
+        else:
+            own = ["".join(rng.choice("ABCDEFGHIJKLMNOPRSTUVW") for _ in range(rng.randrange(4, 12))) for _ in range(rng.randrange(1, 3))]
+            names.append(" ".join(own + rng.sample(frequent, rng.randrange(0, 3))))
+    return names
+
+
+def test_share_of_candidates_falls_with_the_number_of_names(spark):
+    rng = random.Random(6)
+    shares = []
+    for n in (1000, 2000, 4000):
+        numbered = inline_relation(spark, list(enumerate(grown_names(n, rng))), "id INT, name STRING")
+        shares.append(S.possible_pairs(numbered, 88).count() / (n * (n - 1) / 2))
+    assert shares[0] > 1.3 * shares[1] > 1.3 * 1.3 * shares[2] and shares[2] < 0.001, shares
+
+
+def test_candidates_of_names_with_many_frequent_words(spark):
+    rng = random.Random(2)
+    pool = ["ALPHA", "BETA", "GAMMA", "DELTA", "OMEGA", "SIGMA", "KAPPA", "THETA", "LAMBDA", "ZETAS", "IOTAS", "CHIS"]
+    names = [" ".join(rng.sample(pool, rng.randrange(7, 11)) + [rng.choice(["NAVIENT", "NAVIENTS", "NAVY"])]) for _ in range(60)]
+    numbered = inline_relation(spark, list(enumerate(names)), "id INT, name STRING")
+    possible = {tuple(r) for r in S.possible_pairs(numbered, 88, 2).collect()}
+    high = {(i, j) for i, j in itertools.combinations(range(len(names)), 2) if plain_token_set(names[i], names[j]) >= 88}
+    assert high and high <= possible
