@@ -332,6 +332,17 @@ def _(spark, sf):
     )
 
 
+@query("d10_percentiles_many_values", """
+SELECT l_returnflag, l_linestatus, count(*) AS n, round(quantile_cont(l_extendedprice, 0.25), 6) AS p25, round(quantile_cont(l_extendedprice, 0.5), 6) AS median,
+  round(quantile_cont(l_extendedprice, 0.999), 6) AS p999 FROM lineitem GROUP BY ALL""")
+def _(spark, sf):
+    # nearly every price is a value of its own
+    found = G.exact_percentiles(
+        table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", {"p25": 0.25, "median": 0.5, "p999": 0.999}
+    )
+    return found.select("l_returnflag", "l_linestatus", "n", *[F.round(c, 6).alias(c) for c in ("p25", "median", "p999")])
+
+
 @query("d11_ordered_text", f"""{ONLY}
 SELECT product, string_agg(DISTINCT issue, ' | ' ORDER BY issue) AS issues FROM complaints GROUP BY product""")
 def _(spark, sf):
@@ -411,7 +422,7 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, count(*) OVER (ORDER BY CAS
   count(*) OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderkey ROWS UNBOUNDED PRECEDING) AS rows_frame FROM orders""")
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
-    return N.running_counts(orders, "day", "o_orderkey")
+    return N.running_counts(orders, "day", "o_orderkey", range_rows=100)
 
 
 @query("e6_ranks", f"""{WITH_SILVER},
@@ -419,8 +430,9 @@ s AS (SELECT state, count(*) AS n FROM silver WHERE state IS NOT NULL GROUP BY s
 SELECT state, n, row_number() OVER (ORDER BY n DESC, state) AS row_num, rank() OVER (ORDER BY n DESC) AS rnk,
   dense_rank() OVER (ORDER BY n DESC) AS dense_rnk FROM s""")
 def _(spark, sf):
+    # numbered by the scan, as for lists too long for one task
     counted = G.count_by(silver_table(spark, sf).filter(F.col("state").isNotNull()), "state")
-    return G.ranks(counted, "n", "state")
+    return G.ranks(counted, "n", "state", max_single_task=5)
 
 
 @query("e6_ranks_with_ties", f"""{WITH}
@@ -466,7 +478,7 @@ def _(spark, sf):
     aged = table(spark, sf, "events").select(
         "event_id", C.days_between(F.lit(date(2024, 1, 1)), F.to_date("ts")).alias("age")
     )
-    return N.global_rank(aged, "age", "rnk")
+    return N.global_rank(aged, "age", "rnk", range_rows=10)
 
 
 # ---- order, limit, sample --------------------------------------------------------------------

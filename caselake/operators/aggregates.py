@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caselake.functions.columns import month_of, pct, round_half
+from caselake.operators.numbering import SINGLE_TASK_ROWS
+from caselake.operators.scans import positions, selected_percentiles
+from caselake.session import materialise
 
 
 def count_by(df: DataFrame, *keys: Column | str, name: str = "n") -> DataFrame:
@@ -44,14 +47,18 @@ def filtered_count(condition: Column) -> Column:
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, percentages: dict[str, float], *extra: tuple[str, Column]
+    df: DataFrame, keys: Sequence[str], value: str, percentages: dict[str, float], *extra: tuple[str, Column], few_values: bool = False
 ) -> DataFrame:
     """Exact interpolated percentiles per key (D10), with any extra (name, aggregate) columns.
 
     Equal values are counted before the second aggregation, so a key that holds nearly all rows
-    arrives as one small list of distinct values (days, hours), never as rows. Extra aggregates
-    see the columns ``value`` and ``_n`` (how often it occurred).
+    arrives as one list of distinct values, never as rows. If these are few by their nature (days of the
+    calendar), ``few_values`` takes the built-in aggregate, whose buffer holds the list. Otherwise the
+    ranks are selected by ranges (scans.py) and no list is held. Extra aggregates see the columns ``value``
+    and ``_n`` (how often it occurred).
     """
+    if not few_values:
+        return selected_percentiles(df, keys, value, percentages, *extra)
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     return counted.groupBy(*keys).agg(
         F.sum("_n").cast("bigint").alias("n"),
@@ -114,12 +121,18 @@ def top_n_per_group(
     return counted.withColumn(name, F.dense_rank().over(w).cast("bigint")).filter(F.col(name) <= n)
 
 
-def ranks(counted: DataFrame, value: str, tie_breaker: str) -> DataFrame:
-    """ROW_NUMBER, RANK and DENSE_RANK next to each other (E6), over aggregated rows."""
-    by_value = Window.orderBy(F.desc(value))
+def ranks(counted: DataFrame, value: str, tie_breaker: str, max_single_task: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """ROW_NUMBER, RANK and DENSE_RANK next to each other (E6), largest value first, NULLs last.
+
+    A short list is numbered by one window; a longer one by a scan over ranges of values (scans.py).
+    """
+    if counted.limit(max_single_task + 1).count() > max_single_task:
+        scanned = positions(materialise(counted, "ranked"), value, tie_breaker, descending=True)
+        return scanned.select(*counted.columns, "row_num", "rnk", "dense_rnk")
+    by_value = Window.orderBy(F.desc_nulls_last(value))
     return counted.select(
         "*",
-        F.row_number().over(Window.orderBy(F.desc(value), F.asc_nulls_last(tie_breaker))).cast("bigint").alias("row_num"),
+        F.row_number().over(Window.orderBy(F.desc_nulls_last(value), F.asc_nulls_last(tie_breaker))).cast("bigint").alias("row_num"),
         F.rank().over(by_value).cast("bigint").alias("rnk"),
         F.dense_rank().over(by_value).cast("bigint").alias("dense_rnk"),
     )

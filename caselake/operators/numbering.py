@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselake.operators.joins import lookup_join
+from caselake.operators.scans import PIECES, RANGE_ROWS, positions, running_sums
 from caselake.session import materialise
 
 SINGLE_TASK_ROWS = 1_000_000
@@ -85,55 +86,24 @@ def _numbered_in_ranges(members: DataFrame, order: Sequence[str], bounds: Sequen
     )
 
 
-def global_rank(df: DataFrame, column: str, name: str = "rnk", descending: bool = True) -> DataFrame:
+def global_rank(df: DataFrame, column: str, name: str = "rnk", descending: bool = True, range_rows: int = RANGE_ROWS) -> DataFrame:
     """RANK() over the whole table (E11): 1 + number of rows with a better value.
 
-    Rows are counted per distinct value first; only those counts are summed up in order.
+    Rows are counted per distinct value first; the counts are summed up in order, range by range.
     """
-    order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        df.groupBy(column)
-        .agg(F.count("*").alias("_n"))
-        .select(
-            F.col(column).alias("_value"),
-            (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("bigint").alias(name),
-        )
-    )
+    counted = materialise(df.groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("_n")), "rank_values")
+    summed = running_sums(counted, ["_value"], ["_n"], ["_value"] if descending else [], range_rows)
+    ranks = summed.select(F.struct(F.col("_value").alias("v")).alias("_key"), (F.col("before__n") + 1).cast("bigint").alias(name))
     flagged = df.withColumn("_key", F.struct(F.col(column).alias("v")))  # a struct key matches NULL too
-    ranks = materialise(ranks.select(F.struct(F.col("_value").alias("v")).alias("_key"), name), "ranks")
-    return lookup_join(flagged, ranks, ["_key"], "inner").drop("_key")
+    return lookup_join(flagged, materialise(ranks, "ranks"), ["_key"], "inner").drop("_key")
 
 
-def running_counts(df: DataFrame, day: str, row_id: str, buckets: int = 64) -> DataFrame:
+def running_counts(df: DataFrame, day: str, row_id: str, range_rows: int = RANGE_ROWS, pieces: int = PIECES) -> DataFrame:
     """Running count with the default RANGE frame (ties counted together) and with a ROWS frame
-    (1, 2, 3 ... in id order), over the whole table (E3).
+    (1, 2, 3 ... in id order), over the whole table (E3), NULL days last.
 
-    Equal to two window functions over everything, but sorted in pieces of one day and one id
-    range; a hot day is spread over ``buckets`` pieces. Offsets come from the piece sizes.
+    Equal to two window functions over everything, but numbered in pieces of one day and one id
+    range; the sums before a day come from a scan over ranges of days (scans.py).
     """
-    bounds = df.agg(F.percentile_approx(row_id, [i / buckets for i in range(1, buckets)], 10_000)).first()[0]
-    pieces = F.array(*[F.lit(b) for b in sorted(set(bounds or []))])
-    placed = df.withColumns(
-        {
-            "_day": F.struct(F.col(day).alias("d")),  # a struct key matches NULL days too
-            "_piece": F.size(F.filter(pieces, lambda b: b <= F.col(row_id))),
-        }
-    )
-    sizes = placed.groupBy("_day", "_piece").agg(F.count("*").alias("_size"))
-    # one row per day and piece from here on, not per table row
-    by_day = Window.orderBy(F.asc_nulls_last("_day.d"))
-    before = Window.orderBy(F.asc_nulls_last("_day.d"), "_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_day", "_piece",
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_size").over(by_day).cast("bigint").alias("default_range_frame"),
-    )
-    within = Window.partitionBy("_day", "_piece").orderBy(F.asc_nulls_last(row_id))
-    numbered = placed.withColumn("_rn", F.row_number().over(within))
-    # both sides are already hashed on (day, piece) by the window: no further shuffle of the rows
-    return numbered.join(offsets, ["_day", "_piece"]).select(
-        *df.columns,
-        "default_range_frame",
-        (F.col("_rn") + F.col("_offset")).cast("bigint").alias("rows_frame"),
-    )
+    placed = positions(df, day, row_id, range_rows=range_rows, pieces=pieces)
+    return placed.select(*df.columns, F.col("upto").alias("default_range_frame"), F.col("row_num").alias("rows_frame"))

@@ -86,7 +86,7 @@ def q8_forwarding_days(complaints: DataFrame) -> DataFrame:
         "submitted_via", days_between("date_received", "date_sent_to_company").alias("days")
     )
     stats = exact_percentiles(
-        days, ["submitted_via"], "days", {"median_days": 0.5, "p95_days": 0.95}, ("avg_days", weighted_mean("days"))
+        days, ["submitted_via"], "days", {"median_days": 0.5, "p95_days": 0.95}, ("avg_days", weighted_mean("days")), few_values=True
     )
     return stats.select("submitted_via", "n", "avg_days", "median_days", "p95_days").orderBy(
         F.desc("n"), "submitted_via"

@@ -82,6 +82,7 @@ def channel_forwarding_stats(silver: DataFrame) -> DataFrame:
         ("avg_days", weighted_mean("days_to_send")),
         # sent before received is the same as a negative number of days
         ("sent_before_received", F.sum(F.when(F.col("days_to_send") < 0, F.col("_n")).otherwise(0)).cast("bigint")),
+        few_values=True,  # days
     )
     return stats.select(
         "submitted_via", F.col("n").alias("complaints"), "avg_days", "median_days", "p95_days", "sent_before_received"

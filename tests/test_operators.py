@@ -1,9 +1,10 @@
 import hashlib
 import itertools
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caselake.operators import aggregates as G
@@ -11,6 +12,7 @@ from caselake.operators import cases as K
 from caselake.operators import checks as Q
 from caselake.operators import joins as J
 from caselake.operators import numbering as N
+from caselake.operators import scans as SC
 from caselake.operators import similarity as S
 from caselake.sources.relations import inline_relation
 
@@ -132,16 +134,67 @@ def test_numbering_in_ranges_equals_one_window(spark):
     assert sorted(r["key"] for r in many.collect()) == list(range(1, df.count() + 1))
 
 
-def test_running_counts_and_global_rank(spark):
-    values = [(i, date(2025, 1, 1 + (0 if i % 3 else i % 4))) for i in range(300)] + [(1000, None), (1001, None)]
+def days_and_ids(kind):
+    rng = random.Random(kind)
+    if kind == "hot day":
+        return [(i, date(2025, 1, 1 + (0 if i % 3 else i % 4))) for i in rng.sample(range(900), 300)] + [(1000, None), (1001, None)]
+    return [(i, date(1990, 1, 1) + timedelta(days=i * 7 % 5003)) for i in rng.sample(range(4000), 1500)]
+
+
+@pytest.mark.parametrize("kind, range_rows, pieces", [("hot day", 1_000_000, 64), ("hot day", 1, 9), ("many days", 9, 2)])
+def test_running_counts_and_ranks(spark, kind, range_rows, pieces):
+    values = days_and_ids(kind)
     df = inline_relation(spark, values, "id INT, d DATE").repartition(6)
-    found = {r["id"]: (r["default_range_frame"], r["rows_frame"]) for r in N.running_counts(df, "d", "id", 9).collect()}
+    counts = N.running_counts(df, "d", "id", range_rows, pieces)
+    found = {r["id"]: (r["default_range_frame"], r["rows_frame"]) for r in counts.collect()}
     ordered = sorted(values, key=lambda v: (v[1] is None, v[1] or date.min, v[0]))
-    for i, (cid, d) in enumerate(ordered):
-        ties = max(j for j, v in enumerate(ordered) if v[1] == d) + 1
-        assert found[cid] == (ties, i + 1)
-    ranked = {r["id"]: r["rnk"] for r in N.global_rank(df, "d", "rnk", descending=False).collect()}
-    assert ranked[1001] == 301 and ranked[1] == 1
+    last = {d: i + 1 for i, (_, d) in enumerate(ordered)}
+    assert found == {cid: (last[d], i + 1) for i, (cid, d) in enumerate(ordered)}
+    places = {r["id"]: (r["row_num"], r["rnk"], r["dense_rnk"]) for r in SC.positions(df, "d", "id", True, range_rows, pieces).collect()}
+    ordered = sorted(values, key=lambda v: (v[1] is None, -(v[1] or date.min).toordinal(), v[0]))
+    first, number = {}, {}
+    for i, (_, d) in enumerate(ordered):
+        first.setdefault(d, i + 1)
+        number.setdefault(d, len(number) + 1)
+    assert places == {cid: (i + 1, first[d], number[d]) for i, (cid, d) in enumerate(ordered)}
+    ranked = N.global_rank(df, "d", "rnk", range_rows=range_rows)
+    assert {r["id"]: r["rnk"] for r in ranked.collect()} == {cid: first[d] for cid, d in ordered}
+    for result in (counts, ranked) if range_rows < 10 else ():  # a short list is one range
+        assert "Exchange SinglePartition" not in result._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_window_without_key_would_be_seen(spark):
+    whole = spark.range(5).select(F.row_number().over(Window.orderBy("id")))
+    assert "Exchange SinglePartition" in whole._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scan_tree_has_levels(spark):
+    rng = random.Random(3)
+    totals = [(i, rng.randrange(9)) for i in sorted(rng.sample(range(20_000), 700))]
+    got = {r["i"]: r["before_n"] for r in SC.sums_before(inline_relation(spark, totals, "i INT, n BIGINT"), "i", ["n"]).collect()}
+    assert got == {i: sum(n for j, n in totals if j < i) for i, _ in totals}
+
+
+def test_ranges_of_split_points(spark):
+    df = inline_relation(spark, [(i % 7, None if i % 11 == 0 else f"v{i % 90}", i) for i in range(800)], "a INT, b STRING, i INT")
+    bounds = SC.split_points(df, ["a", "b"], 400, ["a"])
+    assert len(bounds) > SC.FAN  # two steps
+    key = lambda a, b: (-a, b is None, b or "")
+    for r in df.withColumn("r", SC.range_of(df, ["a", "b"], bounds, ["a"])).collect():
+        assert r.r == sum(key(x.a, x.b) <= key(r.a, r.b) for x in bounds)
+
+
+@pytest.mark.parametrize("spread", [3, 50, 10**9])
+def test_selected_percentiles_equal_the_built_in(spark, spread):
+    rng = random.Random(spread)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, *[rng.randrange(spread) / 7] * 5])) for _ in range(3000)] + [("one", 5.5), ("none", None)]
+    df = inline_relation(spark, data, "k STRING, v DOUBLE")
+    wanted = {"low": 0.0, "p10": 0.1, "mid": 0.5, "p95": 0.95, "top": 1.0}
+    built_in = df.groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("s"), *[F.percentile("v", p).alias(c) for c, p in wanted.items()])
+    for buckets in (4096, 5):
+        got = SC.selected_percentiles(df, ["k"], "v", wanted, ("s", F.sum(F.col("v") * F.col("_n"))), buckets=buckets)
+        near = lambda r: tuple(round(x, 3) if isinstance(x, float) else x for x in r)
+        assert sorted(map(str, map(near, got.collect()))) == sorted(map(str, map(near, built_in.collect())))
 
 
 def test_percentiles_and_sample_do_not_depend_on_partitions(spark, skewed):
