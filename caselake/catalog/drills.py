@@ -17,7 +17,9 @@ from caselake.functions import columns as C
 from caselake.operators import aggregates as G
 from caselake.operators import joins as J
 from caselake.operators import numbering as N
+from caselake.operators import profiles as P
 from caselake.plans import analysis as A
+from caselake.session import scratch_path
 from caselake.sources.files import COMPLAINT_TARGETS
 from caselake.sources.relations import inline_relation, seed_rows, unnest_values
 
@@ -367,39 +369,52 @@ def _(spark, sf):
     return G.distinct_profile(bronze_table(spark, sf), PROFILED)
 
 
-_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-_TEXTS = ["l_returnflag", "l_linestatus"]
+# kinds of the columns of lineitem, with the text of a value and (for quantiles) its number in both engines
+_PROFILED = {
+    **{c: ("bigint", "{0}", "{0}") for c in ("l_orderkey", "l_partkey", "l_suppkey")},
+    "l_linenumber": ("int", "{0}", "{0}"),
+    **{c: ("double", "CAST({0} AS DECIMAL(18, 4))", "{0}") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")},
+    **{c: ("string", "{0}", None) for c in ("l_returnflag", "l_linestatus")},
+    "l_shipdate": ("timestamp_ntz", "strftime({0}, '%Y-%m-%d %H:%M:%S')", None),
+}
 
 
-@query("d16_profile", " UNION ALL ".join(
-    [
-        f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
-        f"round(stddev(CAST({c} AS DOUBLE)), 4) AS spread, count(*) AS rows, true AS distinct_within_5_percent, true AS quantiles_within_1_percent FROM lineitem"
-        for c in _NUMBERS
-    ]
-    + [
-        f"SELECT '{c}', NULL, NULL, NULL, NULL, count(*), true, true FROM lineitem" for c in _TEXTS
-    ]
-))
+def _profile_sql(c: str, kind: str, text: str, number: str | None) -> str:
+    low, high = (f"CAST({text.format(f'{f}({c})')} AS VARCHAR)" for f in ("min", "max"))
+    mean, spread = (f"round({f}({number.format(c)}), {d})" if number else "CAST(NULL AS DOUBLE)" for f, d in (("avg", 7), ("stddev", 4)))
+    return f"""SELECT '{c}' AS column_name, CASE any_value(typeof({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+  WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS column_type, {low} AS low, {high} AS high, {mean} AS mean, {spread} AS spread,
+  count(*) AS rows, round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 2) AS null_percentage,
+  true AS distinct_within_5_percent, true AS quantiles_within_1_percent FROM lineitem"""
+
+
+@query("d16_profile", " UNION ALL ".join(_profile_sql(c, *how) for c, how in _PROFILED.items()))
 def _(spark, sf):
+    # every column of the table; sketches are stored per batch, one batch comes twice, and all are merged
+    lines = table(spark, sf, "lineitem")
+    batch, path = F.col("l_orderkey") % 3, scratch_path(spark, "profile_batches")
+    P.store_sketches(P.batch_sketches(lines.filter(batch == 1).limit(5), batch), path)
+    P.store_sketches(P.batch_sketches(lines, batch), path)
+    found = P.merged_profile(P.stored_sketches(spark, path)).collect()  # one row per column
     # distinct counts and quantiles are estimates: their distance from exact counts over the same rows is reported
-    rows = table(spark, sf, "lineitem").select(*_NUMBERS, *_TEXTS)
-    found = {r["column_name"]: r for r in G.profile(rows).collect()}  # one row per column
-    exact = [F.count_distinct(c).alias(f"{c}_n") for c in found]
-    exact += [F.count_if(F.col(c) < found[c][q]).alias(f"{c}_{q}_below") for c in _NUMBERS for q in ("q25", "q50", "q75")]
-    exact += [F.count_if(F.col(c) <= found[c][q]).alias(f"{c}_{q}_upto") for c in _NUMBERS for q in ("q25", "q50", "q75")]
-    true = rows.agg(*exact).first()
-
-    def checked(c):
-        r, n = found[c], found[c]["count"]
-        number = c in _NUMBERS
-        ranks = [true[f"{c}_{q}_below"] <= (p + 0.01) * n and true[f"{c}_{q}_upto"] >= (p - 0.01) * n for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)) if number]
+    value = lambda r, q: F.lit(r[q]).cast(r["column_type"])
+    exact = [F.count_distinct(r["column_name"]).alias(f"{r['column_name']}_n") for r in found]
+    for r in found:
+        for q in P.QUANTILES if r["q50"] is not None else ():
+            c = r["column_name"]
+            exact += [F.count_if(F.col(c) < value(r, q)).alias(f"{c}_{q}_below"), F.count_if(F.col(c) <= value(r, q)).alias(f"{c}_{q}_upto")]
+    true = lines.agg(*exact).first()
+
+    def checked(r):
+        c, n = r["column_name"], r["count"]
+        ranks = [true[f"{c}_{q}_below"] <= (p + 0.01) * n and true[f"{c}_{q}_upto"] >= (p - 0.01) * n for q, p in P.QUANTILES.items() if r[q] is not None]
         near = abs(r["approx_unique"] - true[f"{c}_n"]) <= 0.05 * true[f"{c}_n"]
-        figures = (float(r["min"]), float(r["max"]), round(r["avg"], 6), round(r["std"], 4)) if number else (None,) * 4
-        return (c, *figures, n, near, all(ranks))
+        text = (lambda v: f"{float(v):.4f}") if r["column_type"] == "double" else str
+        figures = [None if r[f] is None else round(r[f], d) for f, d in (("avg", 7), ("std", 4))]
+        return (c, r["column_type"], text(r["min"]), text(r["max"]), *figures, n, r["null_percentage"], near, all(ranks))
 
-    kinds = "column_name STRING, low DOUBLE, high DOUBLE, mean DOUBLE, spread DOUBLE, rows BIGINT, distinct_within_5_percent BOOLEAN, quantiles_within_1_percent BOOLEAN"
-    return inline_relation(spark, [checked(c) for c in found], kinds)
+    kinds = "column_name STRING, column_type STRING, low STRING, high STRING, mean DOUBLE, spread DOUBLE, rows BIGINT, null_percentage DOUBLE, "
+    return inline_relation(spark, [checked(r) for r in found], kinds + "distinct_within_5_percent BOOLEAN, quantiles_within_1_percent BOOLEAN")
 
 
 @query("d17_null_percentages", f"WITH {RAW_SQL}\n" + " UNION ALL ".join(

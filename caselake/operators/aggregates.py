@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from caselake.functions.columns import month_of, pct, round_half
 from caselake.operators.numbering import SINGLE_TASK_ROWS
@@ -214,39 +213,6 @@ def null_percentages(df: DataFrame, columns: dict[str, str] | Sequence[str]) ->
     return _unpivot(wide, [(label, {"pct_null": f"_{i}"}) for i, label in enumerate(labels)], ["pct_null"])
 
 
-NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-PROFILE_FIELDS = [
-    "column_type", "min", "max", "approx_unique", "avg", "std", "q25", "q50", "q75", "count", "null_percentage",
-]
-
-
-def profile(df: DataFrame) -> DataFrame:
-    """Type, range, distinct values, spread and NULL share of every column (D16), in one pass.
-
-    Distinct counts are HyperLogLog estimates and quantiles are sketches, so the state per task
-    stays small whatever the number of rows. ``distinct_profile`` gives exact distinct counts.
-    """
-    aggregates, entries = [], []
-    for i, field in enumerate(df.schema.fields):
-        c = F.col(f"`{field.name}`")
-        number = c.cast("double") if isinstance(field.dataType, NUMERIC) else F.lit(None).cast("double")
-        quantiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-        values = {
-            "column_type": F.max(F.lit(field.dataType.simpleString())),
-            "min": F.min(c).cast("string"),
-            "max": F.max(c).cast("string"),
-            "approx_unique": F.approx_count_distinct(c, 0.01),
-            "avg": F.avg(number),
-            "std": F.stddev(number),
-            **{q: F.percentile_approx(number, p) for q, p in quantiles.items()},
-            "count": F.count("*"),
-            "null_percentage": pct(F.count_if(c.isNull()), F.count("*")),
-        }
-        aggregates += [agg.alias(f"_{i}_{n}") for n, agg in values.items()]
-        entries.append((field.name, {n: f"_{i}_{n}" for n in values}))
-    return _unpivot(df.agg(*aggregates), entries, PROFILE_FIELDS)
-
-
 def distinct_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Exact distinct count, range and NULL share per column.
 

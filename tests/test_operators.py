@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+import statistics
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -12,6 +13,7 @@ from caselake.operators import cases as K
 from caselake.operators import checks as Q
 from caselake.operators import joins as J
 from caselake.operators import numbering as N
+from caselake.operators import profiles as P
 from caselake.operators import scans as SC
 from caselake.operators import similarity as S
 from caselake.sources.relations import inline_relation
@@ -344,3 +346,39 @@ def test_candidates_of_names_with_many_frequent_words(spark):
     possible = {tuple(r) for r in S.possible_pairs(numbered, 88, 2).collect()}
     high = {(i, j) for i, j in itertools.combinations(range(len(names)), 2) if plain_token_set(names[i], names[j]) >= 88}
     assert high and high <= possible
+
+
+def test_profile_of_batches_is_the_profile_of_all(spark, tmp_path):
+    rng = random.Random(9)
+    data = [
+        (i, 2**60 + i, rng.choice([None, rng.gauss(5, 2)]), rng.choice([None, "é", "a", "zz", f"v{i}"]), date(2020, 1, 1) + timedelta(days=i % 400), i % 3 == 0, None)
+        for i in range(4000)
+    ]
+    df = inline_relation(spark, data, "i INT, big BIGINT, x DOUBLE, s STRING, d DATE, b BOOLEAN, nothing DOUBLE")
+    path = str(tmp_path / "sketches")
+    P.store_sketches(P.batch_sketches(df.filter("i < 700"), F.lit("one")), path)
+    P.store_sketches(P.batch_sketches(df.filter("i >= 700"), F.lit("two")), path)
+    P.store_sketches(P.batch_sketches(df.filter("i < 1000"), F.lit("one")), path)  # comes again, with more rows
+    P.store_sketches(P.batch_sketches(df.filter("i >= 1000"), F.lit("two")), path)
+    merged = {r["column_name"]: r.asDict() for r in P.merged_profile(P.stored_sketches(spark, path)).collect()}
+    whole = {r["column_name"]: r.asDict() for r in P.profile(df).collect()}
+    assert list(merged) == list(whole) == df.columns
+    known = [r[2] for r in data if r[2] is not None]
+    for c, one in whole.items():
+        for field in P.PROFILE_FIELDS:
+            a, b = merged[c][field], one[field]
+            if field in ("avg", "std") and a is not None:
+                assert a == pytest.approx(b, rel=1e-9)
+            elif field == "approx_unique":
+                assert abs(a - b) <= 0.03 * b
+            elif field not in P.QUANTILES:
+                assert a == b, (c, field)
+    assert (whole["big"]["min"], whole["big"]["max"]) == (str(2**60), str(2**60 + 3999))
+    assert (whole["s"]["min"], whole["s"]["max"], whole["s"]["avg"], whole["s"]["q50"], whole["s"]["std"]) == ("a", "é", None, None, None)
+    assert whole["nothing"]["null_percentage"] == 100 and whole["nothing"]["q50"] is None and whole["nothing"]["approx_unique"] == 0
+    assert whole["x"]["std"] == pytest.approx(statistics.stdev(known)) and whole["x"]["null_percentage"] == round(100 - len(known) / 40, 2)
+    ranks = [sum(v <= float(merged["x"][q]) for v in known) / len(known) for q in P.QUANTILES]
+    assert ranks == pytest.approx([0.25, 0.5, 0.75], abs=0.01)
+    assert merged["d"]["min"] == "2020-01-01" and merged["d"]["q50"][:4] == "2020"
+    only = {r["column_name"]: r["count"] for r in P.merged_profile(P.stored_sketches(spark, path, ["two"])).collect()}
+    assert set(only.values()) == {3000} and P.profile(df.limit(0)).collect() == []
