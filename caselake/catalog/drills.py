@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caselake.catalog.layers import (
@@ -19,7 +20,7 @@ from caselake.operators import joins as J
 from caselake.operators import numbering as N
 from caselake.operators import profiles as P
 from caselake.plans import analysis as A
-from caselake.session import scratch_path
+from caselake.session import materialise, scratch_path
 from caselake.sources.files import COMPLAINT_TARGETS
 from caselake.sources.relations import inline_relation, seed_rows, unnest_values
 
@@ -218,6 +219,21 @@ def _(spark, sf):
     return joined.select("o_orderkey", "day", "name", F.col("valid_to").isNull().alias("is_current"))
 
 
+@query("c7_temporal_join_long_histories", """
+WITH v AS (SELECT event_type AS kind, CAST(ts AS DATE) AS valid_from, count(*) AS said FROM events GROUP BY ALL),
+versions AS (SELECT *, lead(valid_from) OVER (PARTITION BY kind ORDER BY valid_from) AS valid_to FROM v)
+SELECT e.event_id, kind, valid_from, said FROM events e JOIN versions ON kind = e.event_type
+  AND CAST(e.ts AS DATE) + 3 >= valid_from AND CAST(e.ts AS DATE) + 3 < ifnull(valid_to, DATE '9999-12-31')""")
+def _(spark, sf):
+    # every kind of event has a version for each day it occurred on; asked for three days after the event
+    events = table(spark, sf, "events").select("event_id", F.col("event_type").alias("kind"), F.to_date("ts").alias("day"))
+    counted = events.groupBy("kind", F.col("day").alias("valid_from")).agg(F.count("*").alias("said"))
+    later = Window.partitionBy("kind").orderBy("valid_from")  # days of one kind
+    versions = materialise(counted.withColumn("valid_to", F.lead("valid_from").over(later)), "versions")
+    joined = J.temporal_join(events.withColumn("at", F.date_add("day", 3)), versions, ["kind"], "at")
+    return joined.select("event_id", "kind", "valid_from", "said")
+
+
 @query("c10_not_exists", """
 SELECT count(*) AS n FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer c
   WHERE CASE WHEN c_mktsegment <> 'BUILDING' THEN c_custkey END = o.o_custkey)""")

@@ -15,6 +15,7 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 HOT_SHARE = 0.001
+LONG_HISTORY = 64  # versions of one key
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -114,11 +115,44 @@ def temporal_join(
     valid_to: str = "valid_to",
     how: str = "inner",
 ) -> DataFrame:
-    """Each row meets the version that was valid on its day: [valid_from, valid_to)."""
+    """Each row meets the version that was valid on its day: [valid_from, valid_to).
+
+    Keys with a long history are joined on (key, block of days) instead of the key: every version is
+    written once per block it touches. A key's block is as long as its versions are on average, so a
+    history at most doubles, and a row meets the few versions of its block, not all of its key.
+    """
     open_end = F.coalesce(F.col(valid_to), F.lit("9999-12-31").cast("date"))
-    return lookup_join(
-        facts, versions, on, how, condition=(F.col(at) >= F.col(valid_from)) & (F.col(at) < open_end)
-    )
+    valid = (F.col(at) >= F.col(valid_from)) & (F.col(at) < open_end)
+    long = versions.groupBy(*on).agg(F.count("*").alias("_versions")).filter(F.col("_versions") > LONG_HISTORY)
+    if not long.limit(1).count():
+        return lookup_join(facts, versions, on, how, condition=valid)
+    rows, blocks = in_day_blocks(facts, versions, on, at, valid_from, valid_to)
+    joined = lookup_join(rows, blocks, [*on, "_block"], how, condition=valid)
+    return joined.select(*facts.columns, *[c for c in versions.columns if c not in on])
+
+
+def in_day_blocks(
+    facts: DataFrame, versions: DataFrame, on: Sequence[str], at: str, valid_from: str, valid_to: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a temporal join with the column ``_block``; versions are cut to the days of ``facts``.
+
+    Keys with at most ``LONG_HISTORY`` versions have one block, -1.
+    """
+    first, last = facts.agg(F.min(at), F.max(at)).first()
+    if first is None:  # no day to be valid on
+        return facts.withColumn("_block", F.lit(-1)), versions.limit(0).withColumn("_block", F.lit(-1))
+    start = F.greatest(F.col(valid_from), F.lit(first))
+    stop = F.least(F.coalesce(F.col(valid_to), F.lit("9999-12-31").cast("date")), F.date_add(F.lit(last), 1))
+    clipped = versions.withColumns({"_start": F.datediff(start, F.lit(first)), "_days": F.datediff(stop, start)}).filter(F.col(valid_from).isNotNull() & (F.col("_days") > 0))
+    many = clipped.groupBy(*on).agg(F.count("*").alias("_versions"), F.sum("_days").alias("_sum")).filter(F.col("_versions") > LONG_HISTORY)
+    lengths = materialise(many.select(*on, F.ceil(F.col("_sum") / F.col("_versions")).cast("int").alias("_length")), "block_lengths")
+    sized = lookup_join(clipped, lengths, on)
+    touched = F.sequence(F.floor(F.col("_start") / F.col("_length")).cast("int"), F.floor((F.col("_start") + F.col("_days") - 1) / F.col("_length")).cast("int"))
+    block = F.explode(F.coalesce(touched, F.array(F.lit(-1))))
+    blocks = materialise(sized.withColumn("_block", block).select(*versions.columns, "_block"), "version_blocks")
+    day = F.floor(F.datediff(F.col(at), F.lit(first)) / F.col("_length")).cast("int")
+    rows = lookup_join(facts, lengths, on).withColumn("_block", F.when(F.col("_length").isNull(), -1).otherwise(day))
+    return rows.select(*facts.columns, "_block"), blocks
 
 
 def zero_preserving_count(

@@ -91,6 +91,43 @@ def test_temporal_join(spark):
     assert found == {101: "ACME BANK", 102: "ACME BANK", 103: "ACME FINANCIAL", 104: "ACME FINANCIAL"}
 
 
+def histories(rng, versions):
+    """One key with a version a day, one with few, one with two long ones and gaps, one that is not asked for."""
+    first = date(1999, 1, 1)
+    rows = [("long", f"v{i}", first + timedelta(days=i), first + timedelta(days=i + 1)) for i in range(versions)]
+    rows += [("few", f"f{i}", date(2000 + i, 1, 1), date(2001 + i, 1, 1) if i < 9 else None) for i in range(10)]
+    cut = sorted(rng.sample(range(9000), 151))
+    rows += [("gaps", f"g{i}", first + timedelta(days=a), first + timedelta(days=a + max(1, (b - a) // 2))) for i, (a, b) in enumerate(zip(cut, cut[1:]))]
+    rows += [("gaps", "whole", date(1980, 1, 1), None), (None, "none", date(1980, 1, 1), None), ("long", "never", None, None)]
+    return rows
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_temporal_join_over_long_histories(spark, how):
+    rng = random.Random(7)
+    versions = histories(rng, 3000)
+    asked = [(i, rng.choice(["long", "few", "gaps", "other", None]), rng.choice([None, *[date(1998, 6, 1) + timedelta(days=rng.randrange(9500))] * 9])) for i in range(600)]
+    facts = inline_relation(spark, asked, "id INT, k STRING, d DATE")
+    history = inline_relation(spark, versions, "k STRING, name STRING, valid_from DATE, valid_to DATE")
+    got = J.temporal_join(facts, history, ["k"], "d", how=how).select("id", "k", "d", "name").collect()
+    want = []
+    for i, k, d in asked:
+        met = [n for key, n, a, b in versions if None not in (k, d, a) and key == k and a <= d < (b or date.max)]
+        want += [(i, k, d, n) for n in (met if met or how == "inner" else [None])]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_rows_compared_grow_with_the_rows_not_the_versions(spark):
+    rng = random.Random(8)
+    for versions in (1000, 10_000):
+        asked = [(i, "long", date(1999, 1, 1) + timedelta(days=rng.randrange(versions))) for i in range(2000)]
+        facts = inline_relation(spark, asked, "id INT, k STRING, d DATE")
+        history = inline_relation(spark, histories(rng, versions), "k STRING, name STRING, valid_from DATE, valid_to DATE")
+        rows_, blocks = J.in_day_blocks(facts, history, ["k"], "d", "valid_from", "valid_to")
+        assert rows_.join(blocks, ["k", "_block"]).count() <= 3 * len(asked)
+        assert blocks.count() <= 2 * (versions + 200)
+
+
 def test_not_in_and_not_exists(spark):
     df = inline_relation(spark, [(5,), (1,), (None,)], "x INT")
     with_null = inline_relation(spark, [(1,), (None,)], "v INT")
