@@ -230,7 +230,7 @@ def _(spark, sf):
     counted = events.groupBy("kind", F.col("day").alias("valid_from")).agg(F.count("*").alias("said"))
     later = Window.partitionBy("kind").orderBy("valid_from")  # days of one kind
     versions = materialise(counted.withColumn("valid_to", F.lead("valid_from").over(later)), "versions")
-    joined = J.temporal_join(events.withColumn("at", F.date_add("day", 3)), versions, ["kind"], "at")
+    joined = J.temporal_join(events.withColumn("at", F.date_add("day", 3)), versions, ["kind"], "at", long_history=8)
     return joined.select("event_id", "kind", "valid_from", "said")
 
 

@@ -13,6 +13,7 @@ from caselake.catalog.questions import MONTHLY, WITH
 from caselake.catalog.registry import query
 from caselake.catalog.standin import BATCHES, RAW_SQL, TYPED_SQL, raw_complaints, table, typed_complaints
 from caselake.operators.aggregates import count_by_month
+from caselake.plans import reload as R
 from caselake.plans.analysis import month_over_month
 from caselake.plans.medallion import Warehouse, run_layers, tables
 from caselake.session import scratch_path
@@ -159,6 +160,17 @@ def _(spark, sf):
     return month_over_month(replace_table(monthly, scratch_path(spark, "monthly_per_product")))
 
 
+@query("a13_refreshed_summary", f"""WITH {RAW_SQL}
+SELECT product, state, count(*) AS n FROM raw GROUP BY ALL""")
+def _(spark, sf):
+    # one batch is replaced, one dropped: their old counts are taken back, the new ones added
+    rows, path = raw_complaints(spark, sf), scratch_path(spark, "state_summary")
+    before = rows.filter((F.col("_batch_id") != "batch-b") | F.col("state").isNull())
+    dropped = rows.filter("state IS NOT NULL").withColumn("_batch_id", F.lit("batch-x")).withColumn("product", F.lit("only there"))
+    R.write_summary(before.unionByName(dropped), ["product", "state"], path)
+    return R.refresh_summary(rows, ["batch-b", "batch-x"], ["product", "state"], path)
+
+
 @query("a14_csv_export", "SELECT COLUMNS(*)::VARCHAR FROM part")
 def _(spark, sf):
     path = scratch_path(spark, "parts_csv")

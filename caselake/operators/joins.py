@@ -114,6 +114,7 @@ def temporal_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     how: str = "inner",
+    long_history: int = LONG_HISTORY,
 ) -> DataFrame:
     """Each row meets the version that was valid on its day: [valid_from, valid_to).
 
@@ -123,20 +124,20 @@ def temporal_join(
     """
     open_end = F.coalesce(F.col(valid_to), F.lit("9999-12-31").cast("date"))
     valid = (F.col(at) >= F.col(valid_from)) & (F.col(at) < open_end)
-    long = versions.groupBy(*on).agg(F.count("*").alias("_versions")).filter(F.col("_versions") > LONG_HISTORY)
+    long = versions.groupBy(*on).agg(F.count("*").alias("_versions")).filter(F.col("_versions") > long_history)
     if not long.limit(1).count():
         return lookup_join(facts, versions, on, how, condition=valid)
-    rows, blocks = in_day_blocks(facts, versions, on, at, valid_from, valid_to)
+    rows, blocks = in_day_blocks(facts, versions, on, at, valid_from, valid_to, long_history)
     joined = lookup_join(rows, blocks, [*on, "_block"], how, condition=valid)
     return joined.select(*facts.columns, *[c for c in versions.columns if c not in on])
 
 
 def in_day_blocks(
-    facts: DataFrame, versions: DataFrame, on: Sequence[str], at: str, valid_from: str, valid_to: str
+    facts: DataFrame, versions: DataFrame, on: Sequence[str], at: str, valid_from: str, valid_to: str, long_history: int = LONG_HISTORY
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides of a temporal join with the column ``_block``; versions are cut to the days of ``facts``.
 
-    Keys with at most ``LONG_HISTORY`` versions have one block, -1.
+    Keys with at most ``long_history`` versions have one block, -1.
     """
     first, last = facts.agg(F.min(at), F.max(at)).first()
     if first is None:  # no day to be valid on
@@ -144,7 +145,7 @@ def in_day_blocks(
     start = F.greatest(F.col(valid_from), F.lit(first))
     stop = F.least(F.coalesce(F.col(valid_to), F.lit("9999-12-31").cast("date")), F.date_add(F.lit(last), 1))
     clipped = versions.withColumns({"_start": F.datediff(start, F.lit(first)), "_days": F.datediff(stop, start)}).filter(F.col(valid_from).isNotNull() & (F.col("_days") > 0))
-    many = clipped.groupBy(*on).agg(F.count("*").alias("_versions"), F.sum("_days").alias("_sum")).filter(F.col("_versions") > LONG_HISTORY)
+    many = clipped.groupBy(*on).agg(F.count("*").alias("_versions"), F.sum("_days").alias("_sum")).filter(F.col("_versions") > long_history)
     lengths = materialise(many.select(*on, F.ceil(F.col("_sum") / F.col("_versions")).cast("int").alias("_length")), "block_lengths")
     sized = lookup_join(clipped, lengths, on)
     touched = F.sequence(F.floor(F.col("_start") / F.col("_length")).cast("int"), F.floor((F.col("_start") + F.col("_days") - 1) / F.col("_length")).cast("int"))
