@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from datetime import date, datetime
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +18,8 @@ from caselake.plans.gold import GOLD_TABLES
 from caselake.plans.report import build_report
 from caselake.plans.silver import REJECT_REASONS, build_company_lookup, build_silver, rejects, stage
 from caselake.plans.star import CALENDAR, build_marts
-from caselake.session import materialise, side_by_side
-from caselake.sources.bronze import land_csv, read_batches, read_log, write_batch, write_snapshot
+from caselake.session import materialise, scratch_tables, side_by_side
+from caselake.sources.bronze import land_csv, read_version, stage_version, write_snapshot
 from caselake.sources.relations import SEEDS, load_seeds, replace_table, write_for_lookups
 
 LAYERS = ["bronze", "silver", "gold"]
@@ -33,9 +34,10 @@ MARTS = ["dim_date", "dim_company", "dim_product", "dim_state", "fct_complaints"
 class Warehouse(NamedTuple):
     """Where the layers live: any folder all executors can reach.
 
-    Every run writes Silver, Gold and marts into folders of its own. A layer becomes readable when its
-    checks have passed: a row per table in ``published`` then names the run to read. Appending those
-    rows is one committed write, so readers see the old layer or the new one.
+    Every run writes all its tables, Bronze included, into folders of its own. A layer that passed its
+    checks is noted in ``passed``, where a later run may go on from it. Only a run whose layers all
+    passed is published: one append to ``published`` names the run of every table, so readers see one
+    consistent state, the old or the new.
     """
 
     root: str
@@ -46,14 +48,26 @@ class Warehouse(NamedTuple):
     def staged(self, table: str, run: str) -> str:
         return f"{self.root}/{table}/run={run}"
 
-    def publish(self, spark: SparkSession, run: str, names: Sequence[str]) -> None:
-        rows = spark.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("name"), F.lit(run).alias("run"), F.current_timestamp().alias("at"))
-        rows.coalesce(1).write.mode("append").parquet(self.path("published"))
-
-    def read(self, spark: SparkSession, names: Sequence[str]) -> dict[str, DataFrame]:
-        """The published version of each table."""
-        latest = spark.read.parquet(self.path("published")).groupBy("name").agg(F.max_by("run", "at").alias("run"))
-        runs = {r["name"]: r["run"] for r in latest.collect()}  # one row per table
+    def note(self, spark: SparkSession, where: str, runs: dict[str, str]) -> None:
+        """One committed write that names the run of each table."""
+        pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(r).alias("run")) for n, r in runs.items()])
+        rows = spark.range(1).select(F.explode(pairs).alias("t")).select("t.*", F.current_timestamp().alias("at"))
+        rows.coalesce(1).write.mode("append").parquet(self.path(where))
+
+    def runs(self, spark: SparkSession, where: str = "published") -> dict[str, str]:
+        """The latest noted run of each table; empty before the first."""
+        try:
+            noted = spark.read.parquet(self.path(where))
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        latest = noted.groupBy("name").agg(F.max_by("run", F.struct("at", "run")).alias("run"))
+        return {r["name"]: r["run"] for r in latest.collect()}  # one row per table
+
+    def read(self, spark: SparkSession, names: Sequence[str], runs: dict[str, str] | None = None) -> dict[str, DataFrame]:
+        """The published version of each table, or that of ``runs``."""
+        runs = self.runs(spark) if runs is None else runs
         return {name: spark.read.parquet(self.staged(name, runs[name])) for name in names}
 
 
@@ -65,11 +79,12 @@ class Run(NamedTuple):
 
 def tables(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     """All layers as they are stored now."""
-    stored = warehouse.read(spark, ["silver", "rejects", "lookup", *GOLD_TABLES, *MARTS])
+    runs = warehouse.runs(spark)
+    version = read_version(spark, warehouse.root, runs["bronze"])
     return {
-        "bronze": read_batches(spark, warehouse.path("bronze")),
-        "log": read_log(spark, warehouse.path("ingest_log")),
-        **stored,
+        "bronze": version.bronze,
+        "log": version.log,
+        **warehouse.read(spark, ["silver", "rejects", "lookup", *GOLD_TABLES, *MARTS], runs),
     }
 
 
@@ -181,9 +196,10 @@ def run_layers(
     """Build the layers from ``start`` on. Every layer is a stored table that the next one reads,
     so lineage ends at layer borders and a lost executor repeats one layer's tasks at most.
 
-    Without ``keep_history`` a load replaces all of Bronze; with it, only its own batches. Silver, Gold
-    and marts are written beside the tables in use and published after their checks; an error stops
-    the run (GateError) and leaves what was readable before.
+    Without ``keep_history`` a load replaces all of Bronze; with it, only its own batches. All tables are
+    written beside those in use, and published together when every layer has passed its checks; an error
+    stops the run (GateError) and leaves what was readable before. A run that starts at a later layer goes
+    on from the latest layers that passed, published or not.
     """
     if start not in LAYERS:
         raise ValueError(f"start must be one of {LAYERS}")
@@ -194,54 +210,62 @@ def run_layers(
     results: list[K.Result] = []
     at = time.time
 
-    began = at()
-    if first == 0:
-        if csv_path is None:
-            raise ValueError("csv_path is needed to build bronze")
-        landed = land_csv(spark, csv_path, F.lit(now))
-        write_batch(landed, warehouse.path("bronze"), warehouse.path("ingest_log"), replace_all=not keep_history)
-    bronze = read_batches(spark, warehouse.path("bronze"))
-    if first == 0:
-        if snapshot:
-            write_snapshot(bronze, warehouse.path("snapshots"))
-        results += K.gate(bronze_checks(bronze, now))
-        timings["bronze"] = at() - began
-
     run = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    runs = warehouse.runs(spark, "passed")
     stage_as = lambda df, name: replace_table(df, warehouse.staged(name, run))
 
-    began = at()
-    if first <= 1:
-        results += K.gate(seed_checks(seeds))
-        lookup = assert_no_fanout(build_company_lookup(bronze, seeds, lambda df: stage_as(df, "lookup")), ["company_raw"])
-        built = side_by_side(
-            {
-                "silver": lambda: write_for_lookups(
-                    build_silver(bronze, lookup, seeds), warehouse.staged("silver", run), "date_received", ["company"], "complaint_id"
-                ),
-                "rejects": lambda: stage_as(rejects(bronze), "rejects"),
-            }
-        )
-        results += K.gate(silver_checks(bronze, built["silver"], built["rejects"], lookup, seeds, now.date(), first_day))
-        warehouse.publish(spark, run, ["lookup", "silver", "rejects"])
-        timings["silver"] = at() - began
-    silver, lookup = warehouse.read(spark, ["silver", "lookup"]).values()
-
-    began = at()
-    gold = side_by_side({name: lambda name=name, build=build: stage_as(build(silver), name) for name, build in GOLD_TABLES.items()})
-    results += K.gate(gold_checks(silver, gold))
-    warehouse.publish(spark, run, list(gold))
-    timings["gold"] = at() - began
-
-    began = at()
-    write = lambda df, name: (stage_as if name in MARTS else materialise)(df, name)
-    marts = build_marts(silver, lookup, seeds["state_ref"], write, calendar)
-    marts["fct_complaints"] = stage_as(marts["fct_complaints"], "fct_complaints")
-    results += K.gate(mart_checks(marts))
-    warehouse.publish(spark, run, MARTS)
-    timings["marts"] = at() - began
-
-    began = at()
-    report = build_report(tables(spark, warehouse), seeds["product_map"], results, timings, now)
-    timings["report"] = at() - began
+    def passed(*names: str) -> None:
+        runs.update(dict.fromkeys(names, run))
+        warehouse.note(spark, "passed", dict.fromkeys(names, run))
+
+    with scratch_tables(spark):
+        began = at()
+        if first == 0:
+            if csv_path is None:
+                raise ValueError("csv_path is needed to build bronze")
+            landed = land_csv(spark, csv_path, F.lit(now))
+            before = warehouse.runs(spark).get("bronze")
+            bronze = stage_version(landed, warehouse.root, run, before, replace_all=not keep_history).bronze
+            results += K.gate(bronze_checks(bronze, now))
+            passed("bronze")
+            if snapshot:
+                write_snapshot(bronze, warehouse.path("snapshots"))
+            timings["bronze"] = at() - began
+        bronze = read_version(spark, warehouse.root, runs["bronze"]).bronze
+
+        began = at()
+        if first <= 1:
+            results += K.gate(seed_checks(seeds))
+            lookup = assert_no_fanout(build_company_lookup(bronze, seeds, lambda df: stage_as(df, "lookup")), ["company_raw"])
+            built = side_by_side(
+                {
+                    "silver": lambda: write_for_lookups(
+                        build_silver(bronze, lookup, seeds), warehouse.staged("silver", run), "date_received", ["company"], "complaint_id"
+                    ),
+                    "rejects": lambda: stage_as(rejects(bronze), "rejects"),
+                }
+            )
+            results += K.gate(silver_checks(bronze, built["silver"], built["rejects"], lookup, seeds, now.date(), first_day))
+            passed("lookup", "silver", "rejects")
+            timings["silver"] = at() - began
+        silver, lookup = warehouse.read(spark, ["silver", "lookup"], runs).values()
+
+        began = at()
+        gold = side_by_side({name: lambda name=name, build=build: stage_as(build(silver), name) for name, build in GOLD_TABLES.items()})
+        results += K.gate(gold_checks(silver, gold))
+        passed(*gold)
+        timings["gold"] = at() - began
+
+        began = at()
+        write = lambda df, name: (stage_as if name in MARTS else materialise)(df, name)
+        marts = build_marts(silver, lookup, seeds["state_ref"], write, calendar)
+        marts["fct_complaints"] = stage_as(marts["fct_complaints"], "fct_complaints")
+        results += K.gate(mart_checks(marts))
+        passed(*MARTS)
+        timings["marts"] = at() - began
+        warehouse.note(spark, "published", runs)
+
+        began = at()
+        report = build_report(tables(spark, warehouse), seeds["product_map"], results, timings, now)
+        timings["report"] = at() - began
     return Run(results, timings, report)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from caselake.operators.joins import lookup_join
 from caselake.plans.silver import SILVER_COLUMNS, build_company_lookup, enrich, keep_latest, quality_flags, stage, usable
-from caselake.session import materialise
+from caselake.session import materialise, remove_folder
 
 MONTH = "received_month"
 LOOKUP = ["company_raw", "company"]
@@ -24,11 +24,6 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def _remove_folder(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def overwrite_parts(content: DataFrame, path: str, key: str, touched: DataFrame) -> list[str]:
     """Replace the parts ``touched`` (a column ``key`` of texts) of a table kept in folders; all other files stay.
 
@@ -42,7 +37,7 @@ def overwrite_parts(content: DataFrame, path: str, key: str, touched: DataFrame)
     filled = {r[key] for r in content.select(key).distinct().collect()}
     for part in parts:
         if part not in filled:
-            _remove_folder(spark, f"{path}/{key}={part}")
+            remove_folder(spark, f"{path}/{key}={part}")
     return parts
 
 

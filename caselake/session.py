@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_scratch = threading.local()  # .root: where this thread's intermediate tables go, if they are to be removed
 _local_folders: dict[str, str] = {}  # application id -> folder, for local masters only
 
 # Settings every job needs for right results (time zone, ANSI) and for runtime re-planning.
@@ -70,7 +73,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/caselake/{uuid.uuid4().hex}/{name}"
+    root = getattr(_scratch, "root", None) or f"{shared_dir(spark)}/caselake"
+    return f"{root}/{uuid.uuid4().hex}/{name}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are removed at the end. What is to be read later must be
+    written to a path taken outside."""
+    before = getattr(_scratch, "root", None)
+    _scratch.root = root = f"{shared_dir(spark)}/caselake/{uuid.uuid4().hex}"
+    try:
+        yield
+    finally:
+        _scratch.root = before
+        remove_folder(spark, root)
 
 
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -86,6 +108,12 @@ def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 
 def side_by_side(jobs: dict[str, Callable[[], T]], at_once: int = 4) -> dict[str, T]:
     """Submit independent jobs from a few threads, so that a small one need not wait for the others."""
+    root = getattr(_scratch, "root", None)
+
+    def run(job: Callable[[], T]) -> T:
+        _scratch.root = root
+        return job()
+
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        futures = {name: pool.submit(run, job) for name, job in jobs.items()}
         return {name: future.result() for name, future in futures.items()}
