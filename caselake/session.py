@@ -25,6 +25,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a Python worker holds a few of these at a time, whatever the length of the texts
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     # the JVM never compiles methods above 8000 bytes; wide cleaning projections are split instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
