@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from caselake.llm.decontamination import decontaminated
@@ -10,7 +12,7 @@ from caselake.llm.mixing import mixed_documents
 from caselake.llm.quality import good_documents
 from caselake.llm.registry import table
 from caselake.llm.surrogates import without_pii
-from caselake.session import materialise
+from caselake.session import configure, scratch_path, scratch_tables
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +40,22 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
+def configured(stage):
+    """The settings of the session hold for a stage that is called on its own, too."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(configure(spark), docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality", quality),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontaminate),
-    ("pii", pii),
-    ("mixing", mix),
+    ("quality", configured(quality)),
+    ("near_duplicates", configured(near_duplicates)),
+    ("decontamination", configured(decontaminate)),
+    ("pii", configured(pii)),
+    ("mixing", configured(mix)),
 ]
 
 # fitted trees, similarity groups and suffix automata have no SQL; the tests compare with brute force
@@ -51,7 +63,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; a stage's intermediate tables go when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_tables(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
