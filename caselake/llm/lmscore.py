@@ -4,16 +4,19 @@ Two bigram models, one of the target documents and one of all documents, share t
 order and the smoothing. A document's score is the mean over its words of the target model's loss
 minus the background model's: low scores are like the target, and what both find hard cancels out.
 
-All counts cover all documents. Words are counted with one shuffle of per-task sums; the
-``VOCABULARY`` most frequent ones get numbers, the rest share one. Bigram counts are summed per task,
-shuffled by bigram, and turned into rows of the table of loss differences, one per previous word,
-by the executors. That table has VOCABULARY squared entries at most, so it may be broadcast however
-large the corpus is; scoring looks entries up in it and shuffles nothing.
-
-Loss of word w after v: -ln((c(v, w) + PRIOR * u(w)) / (c(v) + PRIOR)), with u(w) = (c(w) + 1) /
-(N + VOCABULARY). Defined results: a null text or one without words has n_tokens 0 and a null score;
-without target documents the target model is the uniform one; repeated rows count and score
-each; an empty table gives no rows; other columns are ignored.
+All words and their counts are gathered in a table that grows with the corpus. The ``VOCABULARY`` most
+frequent words are classes of their own, all others form one more class. Which class follows which is
+a bigram model with a table of VOCABULARY squared loss differences; a word of the last class adds the
+loss difference of the word within it. That of the ``TIER`` next frequent words is broadcast as well; all
+rarer words meet their text by a join on the word (none of them is frequent enough to be a hot key), and
+their sum is added per text. No word is left out or taken for another.
+
+Loss of class w after v: -ln((c(v, w) + PRIOR * u(w)) / (c(v) + PRIOR)), with u(w) = (c(w) + 1) / (N + VOCABULARY).
+Loss of a word within its class: -ln((c + K) / (C + K * words)) for all documents, and with K times the target's share
+of C for the target, so that words seen once or twice say little. Defined results: a null text or one
+without words has n_tokens 0 and a null score; without target documents the target model is the uniform
+one; repeated rows count and score each; very long texts are scored whole; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,44 +36,69 @@ from caselake.llm.registry import query, table
 from caselake.session import materialise
 
 VOCABULARY = 2_048
+TIER = 200_000
 PRIOR = 32.0
+K = 1.0
 COUNTERS = 400_000  # of one task between two hand-overs
 UNKNOWN, START = 0, 1
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """w (normalised words as text), n over all documents."""
+def word_counts(docs: DataFrame, text: str = "text", target: str = "target") -> DataFrame:
+    """w (normalised words), n (occurrences in all documents), m (in target documents)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
 
         def part() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["w", "n"])
-            seen.clear()
-            return out
+            words = list(seen[0].keys() | seen[1].keys())
+            m = [seen[1][w] for w in words]
+            n = [seen[0][w] + k for w, k in zip(words, m)]
+            for c in seen:
+                c.clear()
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(m, pa.int64())], ["w", "n", "m"])
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                seen.update(words_of(t))
-                if len(seen) > COUNTERS:
+            for t, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                seen[wanted].update(words_of(t))
+                if len(seen[0]) + len(seen[1]) > COUNTERS:
                     yield part()
         yield part()
 
-    counted = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "w binary, n long")
-    return counted.groupBy("w").agg(F.sum("n").alias("n"))
-
-
-def vocabulary(docs: DataFrame, text: str, size: int) -> dict[bytes, int]:
-    """The most frequent words (ties by their bytes), numbered from 2."""
-    top = word_counts(docs, text).orderBy(F.desc("n"), "w").limit(size - 2).collect()
-    return {bytes(r.w): k for k, r in enumerate(top, 2)}
-
-
-def numbered(texts: list[str | None], known: dict[bytes, int]) -> list[np.ndarray]:
+    counted = docs.select(F.col(f"`{text}`").alias("t"), F.col(target)).mapInArrow(run, "w binary, n long, m long")
+    return counted.groupBy("w").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+
+class Words:
+    """Numbers of the frequent words (ties by their bytes): classes from 2 on, then the broadcast tier,
+    with the tier's loss differences; ``tail`` is the table (w, d) of all rarer words."""
+
+    def __init__(self, words: DataFrame, size: int, tier: int):
+        ordered = words.orderBy(F.desc("n"), "w").limit(size - 2 + tier + 1).collect()
+        top, more = ordered[: size - 2 + tier], len(ordered) > size - 2 + tier
+        self.number = {bytes(r.w): k for k, r in enumerate(top, 2)}
+        n, m = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
+        classes, rest = top[: size - 2], top[size - 2 :]
+        n, m = n - sum(r.n for r in classes), m - sum(r.m for r in classes)
+        share = m / n if n else 0.0  # the target's part of the last class
+        count = np.array([(r.n, r.m) for r in rest], dtype=np.float64).reshape(-1, 2)
+        self.tier = np.log(share * (count[:, 0] + K)) - np.log(count[:, 1] + K * share) if share else np.zeros(len(rest))
+        self.tail = None
+        if more and share:
+            last = top[-1]
+            rarer = (F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("w") > F.lit(bytes(last.w))))
+            self.tail = words.filter(rarer).select("w", (F.log(share * (F.col("n") + K)) - F.log(F.col("m") + K * share)).alias("d"))
+
+
+def numbered(texts: list[str | None], number: dict[bytes, int]) -> tuple[list[list[bytes]], list[np.ndarray]]:
+    """Words of every text, and their numbers, -1 for those without one."""
     words = [words_of(t) for t in texts]
     sizes = [len(w) for w in words]
-    flat = np.fromiter(map(known.get, chain.from_iterable(words), repeat(UNKNOWN)), np.int64, sum(sizes))
-    return np.split(flat, np.cumsum(sizes)[:-1]) if sizes else []
+    flat = np.fromiter(map(number.get, chain.from_iterable(words), repeat(-1)), np.int64, sum(sizes))
+    return words, np.split(flat, np.cumsum(sizes)[:-1]) if sizes else []
+
+
+def classes_of(numbers: np.ndarray, size: int) -> np.ndarray:
+    return np.where((numbers >= 0) & (numbers < size), numbers, UNKNOWN)
 
 
 def bigrams(words: np.ndarray, size: int) -> np.ndarray:
@@ -83,7 +111,7 @@ def bigram_counts(docs: DataFrame, known, size: int, target: str = "target", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pairs = [bigrams(x, size) for x in numbered(b.column(0).to_pylist(), known.value)]
+            pairs = [bigrams(classes_of(x, size), size) for x in numbered(b.column(0).to_pylist(), known.value)[1]]
             if not pairs:
                 continue
             wanted = np.repeat(b.column(1).to_numpy(zero_copy_only=False).astype(bool), [len(p) for p in pairs])
@@ -123,26 +151,51 @@ def score_documents(
     text: str = "text",
     size: int = VOCABULARY,
     prior: float = PRIOR,
+    tier: int = TIER,
 ) -> DataFrame:
     """doc_id, n_tokens, score of every document; ``target_ids`` (one column) names the target documents."""
     spark = docs.sparkSession
     named = target_ids.select(F.col(target_ids.columns[0]).alias("id")).filter("id is not null").distinct().withColumn("target", F.lit(True))
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    known = spark.sparkContext.broadcast(vocabulary(rows, "text", size))
     marked = rows.join(limited_broadcast(materialise(named, "targets")), F.col("doc_id") == F.col("id"), "left")
-    counts = materialise(bigram_counts(marked.withColumn("target", F.coalesce("target", F.lit(False))), known, size), "bigrams")
-    differences = spark.sparkContext.broadcast(loss_differences(counts, size, prior))
+    marked = marked.withColumn("target", F.coalesce("target", F.lit(False)))
+    words = Words(materialise(word_counts(marked), "words"), size, tier)
+    known = spark.sparkContext.broadcast(words.number)
+    counts = materialise(bigram_counts(marked, known, size), "bigrams")
+    differences = spark.sparkContext.broadcast((loss_differences(counts, size, prior), words.tier))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = differences.value.reshape(-1)
+        table, tier_difference = differences.value
+        flat = table.reshape(-1)
         for b in batches:
-            words = numbered(b.column(1).to_pylist(), known.value)
-            scores = [float(flat[bigrams(x, size)].mean(dtype=np.float64)) if len(x) else None for x in words]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) for x in words], pa.int64()), pa.array(scores, pa.float64())], ["doc_id", "n_tokens", "score"]
-            )
-
-    return rows.mapInArrow(run, f"doc_id {docs.schema[key].dataType.simpleString()}, n_tokens long, score double")
+            sums, sizes = [], []
+            for x in numbered(b.column(1).to_pylist(), known.value)[1]:
+                within = tier_difference[x[x >= size] - size].sum() if len(tier_difference) else 0.0
+                sums.append(float(flat[bigrams(classes_of(x, size), size)].sum(dtype=np.float64) + within))
+                sizes.append(len(x))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], ["doc_id", "k", "n_tokens", "total"])
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, found, times, first = [], [], [], []
+            for k, ws, x in zip(b.column(1).to_pylist(), *numbered(b.column(0).to_pylist(), known.value)):
+                counted = Counter(ws[i] for i in np.flatnonzero(x < 0).tolist())
+                found += counted
+                times += counted.values()
+                keys += [k] * len(counted)
+                first += [True, *[False] * (len(counted) - 1)] if counted else []
+            columns = [pa.array(keys, pa.int64()), pa.array(found, pa.binary()), pa.array(times, pa.int32()), pa.array(first, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["k", "w", "times", "first"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    keyed = rows.withColumn("k", F.xxhash64("doc_id", "text"))
+    scored = keyed.mapInArrow(run, f"doc_id {kind}, k long, n_tokens long, total double")
+    if words.tail is not None:
+        met = keyed.select("text", "k").mapInArrow(rare, "k long, w binary, times int, first boolean").join(words.tail, "w")
+        # repeated rows have one key: each of them brings its words once more
+        sums = met.groupBy("k").agg((F.sum(F.col("times") * F.col("d")) / F.count_if("first")).alias("more"))
+        scored = scored.join(sums, "k", "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0.0)))
+    return scored.select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.col("total") / F.col("n_tokens")).alias("score"))
 
 
 @query("op1_lm_score")

@@ -131,6 +131,37 @@ def test_language_models(spark):
         assert got[i] == pytest.approx(expected, abs=1e-6)
 
 
+def topic_texts(rng, words, common, n):
+    return [" ".join(rng.choice(words if rng.random() < 0.3 else common) for _ in range(80)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("size, tier", [(2_048, 200_000), (64, 200_000), (64, 500), (64, 0)])
+def test_rare_words_tell_topics_apart(spark, size, tier):
+    """Topics differ in words beyond the classes only; new texts are ranked right, wherever the words are kept."""
+    rng = random.Random(1)
+    common = [f"c{i}" for i in range(220)]
+    on, off = ([f"{t}{i}" for i in range(1000)] for t in "xy")
+    texts = topic_texts(rng, on, common, 200) + topic_texts(rng, off, common, 200)
+    fresh = topic_texts(rng, on, common, 40) + topic_texts(rng, off, common, 40)
+    docs = spark.createDataFrame(list(enumerate(texts + fresh)) + [(0, texts[0])], "doc_id long, text string")
+    got = lmscore.score_documents(docs, docs.filter("doc_id < 200").select("doc_id"), size=size, tier=tier).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert len(got) == 481 and len({r.score for r in got if r.doc_id == 0}) == 1
+    high = np.array([score[i] for i in range(400, 440)])
+    low = np.array([score[i] for i in range(440, 480)])
+    assert high.mean() < low.mean() - 0.02 and np.mean(high[:, None] < low[None, :]) > 0.95
+
+
+def test_tiers_do_not_change_scores(spark):
+    rng = random.Random(2)
+    docs = spark.createDataFrame([(i, " ".join(f"w{int(rng.random() ** 3 * 300)}" for _ in range(30))) for i in range(60)], "doc_id long, text string")
+    scores = [
+        {r.doc_id: r.score for r in lmscore.score_documents(docs, docs.filter("doc_id % 3 = 0").select("doc_id"), size=20, tier=tier).collect()}
+        for tier in (1000, 40, 0)
+    ]
+    assert scores[0] == pytest.approx(scores[1]) and scores[0] == pytest.approx(scores[2])
+
+
 def test_trees_as_arrays():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(4000, 5))
