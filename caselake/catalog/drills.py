@@ -534,6 +534,14 @@ def _(spark, sf):
     return page.select("c_custkey", "c_name")
 
 
+@query("f4_far_page", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 30 OFFSET 9985")
+def _(spark, sf):
+    # from ranges with known counts: the files of all other ranges stay unread
+    prices = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    ranges = G.write_for_paging(prices, scratch_path(spark, "pages"), ["o_totalprice", "o_orderkey"], ["o_totalprice"], part_rows=1000)
+    return G.seek_page(ranges, 9985, 30)
+
+
 ALL_LAST = ", ".join(f"{c} NULLS LAST" for c in COMPLAINT_TARGETS)
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselake.functions.columns import month_of, pct, round_half
 from caselake.operators.numbering import SINGLE_TASK_ROWS
-from caselake.operators.scans import positions, selected_percentiles
+from caselake.operators.scans import MOST_RANGES, ordering, positions, range_of, selected_percentiles, split_points
 from caselake.session import materialise
 
 
@@ -147,6 +148,42 @@ def page(df: DataFrame, offset: int, rows: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(rows)
 
 
+class PagedTable(NamedTuple):
+    """A table laid out for paging: files hold ranges of the order, and their row counts are known."""
+
+    path: str
+    columns: list[str]
+    descending: list[str]
+    counts: DataFrame  # part, rows
+
+
+def write_for_paging(df: DataFrame, path: str, columns: Sequence[str], descending: Sequence[str] = (), part_rows: int = 1_000_000) -> PagedTable:
+    """Write ``df`` in ranges of ``columns`` (NULLs last), one folder per range; give an order without ties."""
+    stored = materialise(df, "paged_rows")
+    total = stored.count()
+    bounds = split_points(stored, columns, min(MOST_RANGES, -(-total // part_rows)), descending, total)
+    placed = stored.withColumn("part", range_of(stored, columns, bounds, descending))
+    placed.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{path}/rows")
+    counts = placed.groupBy("part").agg(F.count("*").alias("rows"))
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/counts")
+    return PagedTable(path, list(columns), list(descending), df.sparkSession.read.schema(counts.schema).parquet(f"{path}/counts"))
+
+
+def seek_page(table: PagedTable, offset: int, rows: int) -> DataFrame:
+    """The page from ``offset`` on (F4), however far: the counts tell which ranges hold it, and only their
+    files are read and ordered."""
+    spark = table.counts.sparkSession
+    before, first, parts, skip = 0, None, [], 0
+    for part, n in sorted((r["part"], r["rows"]) for r in table.counts.collect()):  # at most ``MOST_RANGES``
+        if before < offset + rows and before + n > offset:
+            if first is None:
+                first, skip = part, offset - before
+            parts.append(part)
+        before += n
+    stored = spark.read.parquet(f"{table.path}/rows")
+    return stored.filter(F.col("part").isin(parts)).drop("part").orderBy(*ordering(table.columns, table.descending)).offset(skip).limit(rows)
+
+
 def reproducible_sample(df: DataFrame, row_id: str, size: int, seed: int = 42) -> DataFrame:
     """A fixed-size sample that depends only on ids and seed, not on the partitioning.
 

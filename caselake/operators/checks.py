@@ -32,6 +32,18 @@ class RowCheck(NamedTuple):
     severity: str = ERROR
 
 
+class KeyCheck(NamedTuple):
+    """``columns`` are unique (L1: one column, NULL ignored; L5: several, NULL is a value) or, with a
+    ``parent``, lead to one of its rows (L2, NULL ignored). All such checks share one exchange."""
+
+    name: str
+    rows: DataFrame
+    columns: Sequence[str]
+    severity: str = ERROR
+    parent: DataFrame | None = None
+    parent_column: str | None = None
+
+
 class Result(NamedTuple):
     name: str
     severity: str
@@ -175,24 +187,70 @@ def recent_rows(silver: DataFrame, days: int = 7) -> DataFrame:
     )
 
 
-def run_checks(checks: Sequence[Check | RowCheck]) -> list[Result]:
-    """Count the bad rows of every check: one number per check reaches the driver."""
+def key_violations(checks: Sequence[KeyCheck]) -> DataFrame:
+    """(i, n): number of values that fail the i-th check; a check without such values has no row.
+
+    Every table is read once. A row gives one (check, 128-bit digest of the key) per check; these are
+    counted on the map side and meet in one exchange, whatever the number of checks and tables. Values
+    are compared as texts, so a key and its reference may differ in type.
+    """
+    sides: dict[int, tuple[DataFrame, list[Column]]] = {}
+
+    def add(df: DataFrame, i: int, columns: Sequence[str], child: bool, skip_null: bool) -> None:
+        parts = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("")) for c in columns]
+        key = F.struct(
+            F.lit(i).alias("i"), F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit("second"), *parts).alias("h2"),
+            F.lit(int(child)).cast("bigint").alias("child"), F.lit(int(not child)).cast("bigint").alias("parent"),
+        )
+        known = F.col(f"`{columns[0]}`").isNotNull() if skip_null else F.lit(True)
+        sides.setdefault(id(df), (df, []))[1].append(F.when(known, key))
+
+    for i, check in enumerate(checks):
+        add(check.rows, i, check.columns, True, len(check.columns) == 1)
+        if check.parent is not None:
+            add(check.parent, i, [check.parent_column or check.columns[0]], False, True)
+    keys = [df.select(F.explode(F.array_compact(F.array(*found))).alias("k")).select("k.*") for df, found in sides.values()]
+    met = reduce(DataFrame.unionByName, keys).groupBy("i", "h1", "h2").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    refers = F.array(*[F.lit(c.parent is not None) for c in checks])
+    bad = F.when(F.get(refers, F.col("i")), (F.col("child") > 0) & (F.col("parent") == 0)).otherwise(F.col("child") > 1)
+    return met.filter(bad).groupBy("i").agg(F.count("*").alias("n"))
+
+
+def exact_key_violations(check: KeyCheck) -> DataFrame:
+    """The failing values of one check."""
+    if check.parent is not None:
+        return relationships(check.rows, check.parent, check.columns[0], check.parent_column or check.columns[0])
+    return unique(check.rows, check.columns[0]) if len(check.columns) == 1 else unique_combination(check.rows, check.columns)
+
+
+def run_checks(checks: Sequence[Check | RowCheck | KeyCheck]) -> list[Result]:
+    """Count the bad rows of every check: one number per check reaches the driver.
+
+    What the digests of a key check report is counted again on the values themselves.
+    """
     counts: list[DataFrame] = []
     by_table: dict[int, list[int]] = {}
+    keyed = [i for i, check in enumerate(checks) if isinstance(check, KeyCheck)]
     for i, check in enumerate(checks):
         if isinstance(check, RowCheck):
             by_table.setdefault(id(check.rows), []).append(i)
-        else:
+        elif isinstance(check, Check):
             counts.append(check.bad_rows.agg(F.lit(i).alias("i"), F.count("*").alias("n")))
     for members in by_table.values():
         wide = checks[members[0]].rows.agg(*[F.count_if(checks[i].is_bad).alias(f"c{i}") for i in members])
         pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("n")) for i in members])
         counts.append(wide.select(F.inline(pairs)))
+    if keyed:
+        place = F.array(*map(F.lit, keyed))
+        counts.append(key_violations([checks[i] for i in keyed]).select(F.get(place, F.col("i")).alias("i"), "n"))
     found = {row["i"]: row["n"] for row in reduce(DataFrame.unionByName, counts).collect()} if counts else {}
-    return [Result(c.name, c.severity, found[i]) for i, c in enumerate(checks)]
+    for i in keyed:
+        if found.get(i):
+            found[i] = exact_key_violations(checks[i]).count()
+    return [Result(c.name, c.severity, found.get(i, 0)) for i, c in enumerate(checks)]
 
 
-def gate(checks: Sequence[Check | RowCheck]) -> list[Result]:
+def gate(checks: Sequence[Check | RowCheck | KeyCheck]) -> list[Result]:
     """Run the checks and stop if an error-level one fails; warnings are only reported."""
     results = run_checks(checks)
     failed = [f"{r.name}: {r.bad_rows} bad rows" for r in results if r.severity == ERROR and not r.passed]

@@ -88,7 +88,7 @@ def tables(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def bronze_checks(bronze: DataFrame, now: datetime) -> list[K.Check | K.RowCheck]:
+def bronze_checks(bronze: DataFrame, now: datetime) -> list[K.Check | K.RowCheck | K.KeyCheck]:
     return [
         K.RowCheck("bronze batch id is set", bronze, F.col("_batch_id").isNull()),
         K.RowCheck("bronze complaint_id is set", bronze, F.col("complaint_id").isNull(), K.WARN),
@@ -97,13 +97,13 @@ def bronze_checks(bronze: DataFrame, now: datetime) -> list[K.Check | K.RowCheck
     ]
 
 
-def seed_checks(seeds: dict[str, DataFrame]) -> list[K.Check | K.RowCheck]:
+def seed_checks(seeds: dict[str, DataFrame]) -> list[K.Check | K.RowCheck | K.KeyCheck]:
     """Before any lookup: one row per key, no empty key, and aliases that lead to a listed state."""
-    checks: list[K.Check | K.RowCheck] = []
+    checks: list[K.Check | K.RowCheck | K.KeyCheck] = []
     for name, (key, *_) in SEEDS.items():
-        checks += [K.RowCheck(f"{name}.{key} is set", seeds[name], F.col(key).isNull()), K.Check(f"{name}.{key} is unique", K.unique(seeds[name], key))]
-    listed = K.relationships(seeds["state_alias"], seeds["state_ref"], "state_code", "state_code")
-    return [*checks, K.Check("state_alias leads to a listed state", listed)]
+        checks += [K.RowCheck(f"{name}.{key} is set", seeds[name], F.col(key).isNull()), K.KeyCheck(f"{name}.{key} is unique", seeds[name], [key])]
+    listed = K.KeyCheck("state_alias leads to a listed state", seeds["state_alias"], ["state_code"], parent=seeds["state_ref"])
+    return [*checks, listed]
 
 
 def silver_checks(
@@ -114,7 +114,7 @@ def silver_checks(
     seeds: dict[str, DataFrame],
     today: date,
     first_day: date = FIRST_DAY,
-) -> list[K.Check | K.RowCheck]:
+) -> list[K.Check | K.RowCheck | K.KeyCheck]:
     def missing(column: str) -> Column:
         return F.col(column).isNull()
 
@@ -128,20 +128,16 @@ def silver_checks(
         K.RowCheck("channel is known", silver, K.is_unlisted("submitted_via", CHANNELS), K.WARN),
         K.RowCheck("days_to_send is not negative", silver, K.is_outside("days_to_send", low=0), K.WARN),
         K.RowCheck("reject_reason is known", rejected, K.is_unlisted("reject_reason", REJECT_REASONS)),
-        K.Check("complaint_id is unique", K.unique(silver, "complaint_id")),
-        K.Check(
-            "product_group is listed",
-            K.relationships(silver, seeds["product_map"], "product_group", "product_group"),
-            K.WARN,
-        ),
-        K.Check("state is listed", K.relationships(silver, seeds["state_ref"], "state", "state_code")),
-        K.Check("company_raw is unique in the lookup", K.unique(lookup, "company_raw")),
+        K.KeyCheck("complaint_id is unique", silver, ["complaint_id"]),
+        K.KeyCheck("product_group is listed", silver, ["product_group"], K.WARN, seeds["product_map"]),
+        K.KeyCheck("state is listed", silver, ["state"], parent=seeds["state_ref"], parent_column="state_code"),
+        K.KeyCheck("company_raw is unique in the lookup", lookup, ["company_raw"]),
         K.Check("no merge across legal forms", K.merged_across_legal_forms(lookup)),
         K.Check("bronze rows are all accounted for", K.bronze_reconciles(bronze, stage(bronze), silver)),
     ]
 
 
-def gold_checks(silver: DataFrame, gold: dict[str, DataFrame]) -> list[K.Check | K.RowCheck]:
+def gold_checks(silver: DataFrame, gold: dict[str, DataFrame]) -> list[K.Check | K.RowCheck | K.KeyCheck]:
     every = F.lit(True)
     totals = {
         "monthly_product_stats": (gold["monthly_product_stats"], "complaints", every),
@@ -150,34 +146,31 @@ def gold_checks(silver: DataFrame, gold: dict[str, DataFrame]) -> list[K.Check |
     }
     return [
         K.Check("gold totals add back to silver", K.totals_add_back(silver, totals)),
-        K.Check("company is unique in the scorecard", K.unique(gold["company_scorecard"], "company")),
+        K.KeyCheck("company is unique in the scorecard", gold["company_scorecard"], ["company"]),
         K.RowCheck("late_pct is a percentage", gold["company_scorecard"], K.is_outside("late_pct", 0.0, 100.0)),
-        K.Check(
-            "month and group are unique",
-            K.unique_combination(gold["monthly_product_stats"], ["month", "product_group"]),
-        ),
+        K.KeyCheck("month and group are unique", gold["monthly_product_stats"], ["month", "product_group"]),
         K.Check("only the latest month is partial", K.partial_month_not_latest(gold["monthly_product_stats"])),
     ]
 
 
-def mart_checks(marts: dict[str, DataFrame]) -> list[K.Check | K.RowCheck]:
+def mart_checks(marts: dict[str, DataFrame]) -> list[K.Check | K.RowCheck | K.KeyCheck]:
     """Keys of the dimensions, and a fact that finds a member for each of its keys."""
     fact = marts["fct_complaints"]
     keys = {"dim_date": "date_key", "dim_company": "company_key", "dim_product": "product_key", "dim_state": "state_key"}
     refers = {"date_received_key": "dim_date", "date_sent_key": "dim_date"} | {keys[d]: d for d in list(keys)[1:]}
-    checks: list[K.Check | K.RowCheck] = [
+    checks: list[K.Check | K.RowCheck | K.KeyCheck] = [
         K.RowCheck("fct_complaints.complaint_id is set", fact, F.col("complaint_id").isNull()),
-        K.Check("fct_complaints.complaint_id is unique", K.unique(fact, "complaint_id")),
+        K.KeyCheck("fct_complaints.complaint_id is unique", fact, ["complaint_id"]),
         K.RowCheck("fct_complaints.complaint_count is 1", fact, ~F.col("complaint_count").eqNullSafe(F.lit(1))),
-        K.Check("product and sub-product are unique", K.unique_combination(marts["dim_product"], ["product", "sub_product"])),
-        K.Check("company_name is unique", K.unique(marts["dim_company"], "company_name")),
-        K.Check("state_code is unique", K.unique(marts["dim_state"], "state_code")),
+        K.KeyCheck("product and sub-product are unique", marts["dim_product"], ["product", "sub_product"]),
+        K.KeyCheck("company_name is unique", marts["dim_company"], ["company_name"]),
+        K.KeyCheck("state_code is unique", marts["dim_state"], ["state_code"]),
     ]
     for name, key in keys.items():
-        checks += [K.RowCheck(f"{name}.{key} is set", marts[name], F.col(key).isNull()), K.Check(f"{name}.{key} is unique", K.unique(marts[name], key))]
+        checks += [K.RowCheck(f"{name}.{key} is set", marts[name], F.col(key).isNull()), K.KeyCheck(f"{name}.{key} is unique", marts[name], [key])]
     for column, name in refers.items():
         checks += [K.RowCheck(f"{column} is set", fact, F.col(column).isNull())]
-        checks += [K.Check(f"{column} is in {name}", K.relationships(fact, marts[name], column, keys[name]))]
+        checks += [K.KeyCheck(f"{column} is in {name}", fact, [column], parent=marts[name], parent_column=keys[name])]
     return checks
 
 

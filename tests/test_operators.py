@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+import re
 import statistics
 from datetime import date, datetime, timedelta
 
@@ -419,3 +420,34 @@ def test_profile_of_batches_is_the_profile_of_all(spark, tmp_path):
     assert merged["d"]["min"] == "2020-01-01" and merged["d"]["q50"][:4] == "2020"
     only = {r["column_name"]: r["count"] for r in P.merged_profile(P.stored_sketches(spark, path, ["two"])).collect()}
     assert set(only.values()) == {3000} and P.profile(df.limit(0)).collect() == []
+
+
+def test_key_checks_share_one_exchange(spark):
+    child = inline_relation(spark, [(i, i % 7, None if i % 5 == 0 else f"s{i % 9}", i % 3) for i in range(200)] + [(0, 99, "s1", 1)], "id INT, p INT, s STRING, t INT")
+    parent = inline_relation(spark, [(i, f"s{i}") for i in range(7)] + [(3, "s3")], "key BIGINT, name STRING")
+    checks = [
+        Q.KeyCheck("id", child, ["id"]), Q.KeyCheck("p", child, ["p"], parent=parent, parent_column="key"), Q.KeyCheck("s", child, ["s"], parent=parent, parent_column="name"),
+        Q.KeyCheck("id and s", child, ["id", "s"]), Q.KeyCheck("s and t", child, ["s", "t"]), Q.KeyCheck("key", parent, ["key"]), Q.KeyCheck("fine", child.limit(0), ["id"]),
+    ]
+    single = [Q.exact_key_violations(c).count() for c in checks]
+    assert single == [1, 1, 2, 0, 12, 1, 0]
+    assert [r.bad_rows for r in Q.run_checks([Q.RowCheck("row", child, F.col("s").isNull()), *checks])] == [40, *single]
+    plan = Q.key_violations(checks)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(i#\d+, h1", plan)) == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_far_page_reads_the_files_that_hold_it(spark, tmp_path):
+    rng = random.Random(5)
+    data = [(i, rng.choice([None, rng.randrange(50)])) for i in range(5000)]
+    df = inline_relation(spark, data, "id INT, v INT").repartition(6)
+    table = G.write_for_paging(df, str(tmp_path / "t"), ["v", "id"], ["v"], part_rows=250)
+    ordered = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    files = len(list((tmp_path / "t/rows").rglob("*.parquet")))
+    for offset, rows_ in ((0, 10), (2490, 30), (4995, 10), (6000, 5), (0, 5000)):
+        page = G.seek_page(table, offset, rows_)
+        assert [tuple(r) for r in page.select("id", "v").collect()] == ordered[offset : offset + rows_]
+        if rows_ < 100:
+            plan = page._jdf.queryExecution().executedPlan().toString()
+            read = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan, re.S)
+            parts = set(re.findall(r"(?<![#\w])\d+", read[1])) if read else set()  # no page, no scan
+            assert files >= 15 and len(parts) <= 2 and (parts or offset == 6000)
