@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caselake.llm.registry import query, table
+from caselake.llm.registry import query, table, tidy
 
 WINDOW = 10
 SHARD_WORDS = 200_000
@@ -291,7 +291,7 @@ def find_leaks(
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("t"))
-    return rows.mapInArrow(run, T.StructType(fields))
+    return rows.mapInArrow(tidy(run), T.StructType(fields))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, max_coverage: float = MAX_COVERAGE, text: str = "text") -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.llm.components import connected_components
-from caselake.llm.registry import query, table
+from caselake.llm.registry import query, table, tidy
 from caselake.llm.shingles import mix, shingle_sets
 from caselake.session import materialise
 
@@ -99,7 +99,7 @@ def document_classes(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n, cls], ["doc_id", "th", "n", "cls"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return _texts(docs, key, text).mapInArrow(run, f"doc_id {kind}, th long, n long, cls long")
+    return _texts(docs, key, text).mapInArrow(tidy(run), f"doc_id {kind}, th long, n long, cls long")
 
 
 def frequent_shingles(docs: DataFrame, shingles: int, text: str, often: int = OFTEN, most: int = FREQUENT) -> Frequent:
@@ -151,7 +151,7 @@ def frequent_shingles(docs: DataFrame, shingles: int, text: str, often: int = OF
         many = total > often
         return pa.table({"s": s[at][many].astype(np.int64), "g": np.log2(total[many]).astype(np.int32)})
 
-    blobs = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(packed, "part long, s binary, n binary")
+    blobs = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(tidy(packed), "part long, s binary, n binary")
     found = materialise(blobs.groupBy("part").applyInArrow(counted, "s long, g int"), "frequent")
     sizes = sorted(((r["g"], r["count"]) for r in found.groupBy("g").count().collect()), reverse=True)
     least, total = 64, 0
@@ -213,9 +213,9 @@ def prefix_rows(docs: DataFrame, frequent, text: str, percent: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in c], names)
 
     kinds = "token long, cls long, n int, pos int"
-    rows = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(emit, kinds)
+    rows = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(tidy(emit), kinds)
     dealt = rows.repartition(F.col("token")).sortWithinPartitions("token", "cls")
-    return dealt.mapInArrow(shared, kinds)
+    return dealt.mapInArrow(tidy(shared), kinds)
 
 
 def limited_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -257,7 +257,7 @@ class Sets:
                 kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds)], names)
 
-        return materialise(texts.mapInArrow(run, "cls long, n int, s binary" + ", p1 binary, p2 binary" * sketches), "sets")
+        return materialise(texts.mapInArrow(tidy(run), "cls long, n int, s binary" + ", p1 binary, p2 binary" * sketches), "sets")
 
 
 def _beside(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
@@ -279,7 +279,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _beside(pairs, sets, ["s"]).select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+    return _beside(pairs, sets, ["s"]).select("a", "b", "s_a", "s_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -298,7 +298,7 @@ def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(all(c >= least for c in common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _beside(pairs, sets, columns).mapInArrow(run, "a long, b long")
+    return _beside(pairs, sets, columns).mapInArrow(tidy(run), "a long, b long")
 
 
 def _may_fit(percent: int) -> Column:

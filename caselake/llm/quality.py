@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caselake.llm.registry import query, table
+from caselake.llm.registry import query, table, tidy
 
 TRAIN_ROWS = 20_000
 ROWS_PER_ID = 3
@@ -171,7 +171,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, key:
             x = pa.array([statistics(t) for t in b.column(1).to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0), x, b.column(2)], ["y", "x", "place"])
 
-    got = sample.mapInArrow(rows, "y int, x array<double>, place string").toArrow().sort_by("place")
+    got = sample.mapInArrow(tidy(rows), "y int, x array<double>, place string").toArrow().sort_by("place")
     x = np.array(got["x"].to_pylist(), dtype=np.float64).reshape(-1, len(STATISTICS))
     return fit_trees(x, got["y"].to_numpy().astype(np.float64))
 
@@ -185,7 +185,7 @@ def scored(docs: DataFrame, keep: Sequence[str], score: Callable[[list], np.ndar
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score(b.column(1).to_pylist()), pa.float64())], ["row", "score"])
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("t"))
-    return rows.mapInArrow(run, T.StructType([kept, T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(tidy(run), T.StructType([kept, T.StructField("score", T.DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, trees: Trees, keep: Sequence[str], text: str = "text") -> DataFrame:

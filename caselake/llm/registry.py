@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +26,23 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tidy(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``fn`` for mapInArrow. Workers are reused: before and after a task, what earlier work has freed is
+    handed back to the system, so that the stages of a long job do not add up in memory."""
+
+    def give_back() -> None:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library keeps what it has
+            pass
+
+    @wraps(fn)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from fn(batches)
+        give_back()
+
+    return run
