@@ -69,24 +69,32 @@ def word_counts(docs: DataFrame, text: str = "text", target: str = "target") ->
 
 
 class Words:
-    """Numbers of the frequent words (ties by their bytes): classes from 2 on, then the broadcast tier,
-    with the tier's loss differences; ``tail`` is the table (w, d) of all rarer words."""
+    """Numbers of the frequent words: classes from 2 on (ties by their bytes), the broadcast tier from ``size``
+    on, with the tier's loss differences; ``tail`` is the table (w, d) of all rarer words."""
 
     def __init__(self, words: DataFrame, size: int, tier: int):
-        ordered = words.orderBy(F.desc("n"), "w").limit(size - 2 + tier + 1).collect()
-        top, more = ordered[: size - 2 + tier], len(ordered) > size - 2 + tier
-        self.number = {bytes(r.w): k for k, r in enumerate(top, 2)}
+        classes = words.orderBy(F.desc("n"), "w").limit(size - 2).select("w", "n", "m").toArrow()
+        self.number = {w: k for k, w in enumerate(classes["w"].to_pylist(), 2)}
+        # words of one count stay together: the tier is what occurs at least ``least`` times
+        room, least = size - 2 + tier, None
+        for r in words.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(room + 1).collect():
+            room -= r.words
+            if room < 0:
+                break
+            least = r.n
+        often = words.filter(F.col("n") >= least).toArrow() if least else classes.slice(0, 0)  # at most size + ``tier`` rows
         n, m = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
-        classes, rest = top[: size - 2], top[size - 2 :]
-        n, m = n - sum(r.n for r in classes), m - sum(r.m for r in classes)
+        n, m = n - sum(classes["n"].to_pylist()), m - sum(classes["m"].to_pylist())
         share = m / n if n else 0.0  # the target's part of the last class
-        count = np.array([(r.n, r.m) for r in rest], dtype=np.float64).reshape(-1, 2)
-        self.tier = np.log(share * (count[:, 0] + K)) - np.log(count[:, 1] + K * share) if share else np.zeros(len(rest))
+        kept = [i for i, w in enumerate(often["w"].to_pylist()) if w not in self.number]
+        often = often.take(pa.array(kept, pa.int64()))
+        self.number |= {w: k for k, w in enumerate(often["w"].to_pylist(), size)}
+        count = np.stack([often["n"].to_numpy(), often["m"].to_numpy()]).astype(np.float64)
+        self.tier = np.log(share * (count[0] + K)) - np.log(count[1] + K * share) if share else np.zeros(len(kept))
         self.tail = None
-        if more and share:
-            last = top[-1]
-            rarer = (F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("w") > F.lit(bytes(last.w))))
-            self.tail = words.filter(rarer).select("w", (F.log(share * (F.col("n") + K)) - F.log(F.col("m") + K * share)).alias("d"))
+        if room < 0 and share:
+            rarer = words.filter(F.col("n") < least) if least else words
+            self.tail = rarer.select("w", (F.log(share * (F.col("n") + K)) - F.log(F.col("m") + K * share)).alias("d"))
 
 
 def numbered(texts: list[str | None], number: dict[bytes, int]) -> tuple[list[list[bytes]], list[np.ndarray]]:
