@@ -61,7 +61,7 @@ def named_raw_file(spark: SparkSession, sf: str) -> str:
 def _written(spark: SparkSession, raw: DataFrame) -> str:
     path = scratch_path(spark, "raw_csv")
     columns = [F.col(c).alias(header) for c, header in DISPLAY.items()]
-    FL.export_csv(raw.select(*columns, F.lit("blue").alias(EXTRA[0])), path)
+    FL.export_csv(raw.select(*columns, F.lit("blue").alias(EXTRA[0])), path, "gzip")
     return path
 
 

@@ -288,3 +288,11 @@ def test_gate_stops_before_gold_is_trusted(spark, tmp_path):
     path = write_csv(tmp_path / "c.csv", ROWS)
     with pytest.raises(GateError, match="in range"):
         run_layers(spark, warehouse, path, now=datetime(2025, 3, 1))
+
+
+def test_the_raw_file_is_written_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(i, f'a "{i}", b') for i in range(25)], "n int, t string").coalesce(1)
+    monkeypatch.setattr(FL, "COMPRESSED_ROWS", 10)
+    FL.export_csv(rows, str(tmp_path / "csv"), "gzip")
+    assert len(list((tmp_path / "csv").glob("*.csv.gz"))) == 3
+    assert sorted((int(r["n"]), r["t"]) for r in FL.read_raw_csv(spark, str(tmp_path / "csv")).collect()) == [(i, f'a "{i}", b') for i in range(25)]
