@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from caselake.catalog.standin import raw_complaints
 from caselake.operators import checks as Q
 from caselake.operators.checks import GateError
 from caselake.plans import medallion as M
@@ -296,3 +297,15 @@ def test_the_raw_file_is_written_compressed_in_files_of_bounded_rows(spark, tmp_
     FL.export_csv(rows, str(tmp_path / "csv"), "gzip")
     assert len(list((tmp_path / "csv").glob("*.csv.gz"))) == 3
     assert sorted((int(r["n"]), r["t"]) for r in FL.read_raw_csv(spark, str(tmp_path / "csv")).collect()) == [(i, f'a "{i}", b') for i in range(25)]
+
+
+def test_the_stand_in_shuffles_no_text_of_a_part_after_its_join(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+    try:
+        plan = raw_complaints(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.split("\n")
+    last = max(i for i, line in enumerate(lines) if "p_partkey" in line and "SortMergeJoin" in line)
+    assert not [line for line in lines[:last] if "Exchange" in line]
