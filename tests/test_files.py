@@ -13,7 +13,7 @@ from caselake.operators import checks as Q
 from caselake.operators.checks import GateError
 from caselake.plans import medallion as M
 from caselake.plans.medallion import Warehouse, run_layers, tables
-from caselake.session import materialise, scratch_path, scratch_tables, side_by_side
+from caselake.session import TASK_BYTES, TASK_SIZES, configure, materialise, scratch_path, scratch_tables, side_by_side
 from caselake.sources import bronze as B
 from caselake.sources import files as FL
 from caselake.sources import relations as R
@@ -309,3 +309,16 @@ def test_the_stand_in_shuffles_no_text_of_a_part_after_its_join(spark):
     lines = plan.split("\n")
     last = max(i for i, line in enumerate(lines) if "p_partkey" in line and "SortMergeJoin" in line)
     assert not [line for line in lines[:last] if "Exchange" in line]
+
+
+def test_a_task_reads_at_most_16_mb_unless_the_session_has_less(spark):
+    before = {key: spark.conf.get(key) for key in TASK_SIZES}
+    try:
+        for given, kept in (("134217728b", str(TASK_BYTES)), ("64MB", str(TASK_BYTES)), ("16k", "16k"), ("1m", "1m")):
+            for key in TASK_SIZES:
+                spark.conf.set(key, given)
+            configure(spark)
+            assert [spark.conf.get(key) for key in TASK_SIZES] == [kept, kept]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
