@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselake.catalog.layers import (
@@ -404,6 +406,13 @@ def _profile_sql(c: str, kind: str, text: str, number: str | None) -> str:
   true AS distinct_within_5_percent, true AS quantiles_within_1_percent FROM lineitem"""
 
 
+def _distinct_values(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """``<column>_n``: the exact number of known values, each column counted on its own: side by side in one
+    aggregate, every row would be repeated, with all columns, once per column."""
+    counts = [df.agg(F.lit(f"{c}_n").alias("name"), F.count_distinct(F.col(f"`{c}`")).alias("n")) for c in columns]
+    return {r["name"]: r["n"] for r in reduce(DataFrame.unionByName, counts).collect()} if counts else {}  # one row per column
+
+
 @query("d16_profile", " UNION ALL ".join(_profile_sql(c, *how) for c, how in _PROFILED.items()))
 def _(spark, sf):
     # every column of the table; sketches are stored per batch, one batch comes twice, and all are merged
@@ -414,12 +423,12 @@ def _(spark, sf):
     found = P.merged_profile(P.stored_sketches(spark, path)).collect()  # one row per column
     # distinct counts and quantiles are estimates: their distance from exact counts over the same rows is reported
     value = lambda r, q: F.lit(r[q]).cast(r["column_type"])
-    exact = [F.count_distinct(r["column_name"]).alias(f"{r['column_name']}_n") for r in found]
+    exact = []
     for r in found:
         for q in P.QUANTILES if r["q50"] is not None else ():
             c = r["column_name"]
             exact += [F.count_if(F.col(c) < value(r, q)).alias(f"{c}_{q}_below"), F.count_if(F.col(c) <= value(r, q)).alias(f"{c}_{q}_upto")]
-    true = lines.agg(*exact).first()
+    true = {**(lines.agg(*exact).first().asDict() if exact else {}), **_distinct_values(lines, [r["column_name"] for r in found])}
 
     def checked(r):
         c, n = r["column_name"], r["count"]

@@ -451,3 +451,11 @@ def test_a_far_page_reads_the_files_that_hold_it(spark, tmp_path):
             read = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan, re.S)
             parts = set(re.findall(r"(?<![#\w])\d+", read[1])) if read else set()  # no page, no scan
             assert files >= 15 and len(parts) <= 2 and (parts or offset == 6000)
+
+
+def test_distinct_values_are_counted_column_by_column(spark):
+    from caselake.catalog.drills import _distinct_values
+
+    rows = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "a")], "n int, `t.u` string")
+    assert _distinct_values(rows, ["n", "t.u"]) == {"n_n": 2, "t.u_n": 2}
+    assert _distinct_values(rows, []) == {}
