@@ -8,7 +8,8 @@ with numpy before the automaton runs.
 
 Items are packed into shards of at most ``shard_words`` words, one automaton each, and a document is
 streamed through all shards. A worker holds the words of the items and at most ``SHARDS_IN_MEMORY``
-automata; with more shards than that it builds them again for every batch.
+automata; with more shards than that it builds them again for every batch. Otherwise a batch is
+streamed in slices of about ``SLICE_BYTES``, so that few texts are held as words at a time.
 
 Defined results: a null text has no words; an item without words matches nothing; a null item_id
 still marks words but is not listed; repeated items count once per id; an empty benchmark leaves all
@@ -23,6 +24,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,7 @@ from caselake.llm.registry import query, table, tidy
 WINDOW = 10
 SHARD_WORDS = 200_000
 SHARDS_IN_MEMORY = 4
+SLICE_BYTES = 1 << 20  # of text; as a list of words it takes some ten times as much
 MAX_COVERAGE = 0.5
 # normalised words: digits, a-z and everything beyond ASCII; A-Z are lower-cased, all else separates
 _FOLD = bytes(
@@ -251,6 +254,16 @@ class _Automata:
         return (_automaton(s, self.window) for s in self.shards)
 
 
+def slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in order, at most ``limit`` bytes of the texts in ``column`` or one row at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = done = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield batch.slice(at, to - at)
+        at, done = to, int(ends[to - 1])
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -274,6 +287,8 @@ def find_leaks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = _Automata(shards, window)
+        if len(shards) <= SHARDS_IN_MEMORY:
+            batches = chain.from_iterable(slices(b, 1, SLICE_BYTES) for b in batches)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             out: list[list] = [[], [], [], [], []]
@@ -297,7 +312,8 @@ def find_leaks(
 def decontaminated(docs: DataFrame, items: DataFrame, max_coverage: float = MAX_COVERAGE, text: str = "text") -> DataFrame:
     """The columns of ``docs``: leaked spans are cut out; documents with more than ``max_coverage`` of
     their words in leaked spans go."""
-    found = find_leaks(docs, items, docs.columns, text=text, clean=True)
+    others = [c for c in docs.columns if c != text] or docs.columns  # the text travels once
+    found = find_leaks(docs, items, others, text=text, clean=True)
     kept = found.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
     return kept.select(*[(F.col("clean") if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])
 

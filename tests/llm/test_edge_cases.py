@@ -102,3 +102,22 @@ def test_vectors(spark):
     assert [(r["rank"], r.vec_id) for r in few] == [(1, 10)]
     assert vptree.nearest_neighbours(v.limit(0), queries).collect() == []
     assert vptree.nearest_neighbours(v, queries.limit(0)).collect() == []
+
+
+def test_decontamination_holds_few_words_at_a_time(monkeypatch, odd, items):
+    import pyarrow as pa
+
+    texts = ["ab " * 400, None, "", "é" * 300, "x" * 5000, "y"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["row", "t"])
+    parts = list(decontamination.slices(batch, 1, 1000))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= 1000 for p in parts)
+    assert len(list(decontamination.slices(batch.slice(3, 6), 1, 1 << 20))) == 1
+    # the texts reach the workers once, not once more among the other columns
+    kept, find_leaks = [], decontamination.find_leaks
+    monkeypatch.setattr(decontamination, "find_leaks", lambda docs, items, keep, **more: kept.extend(keep) or find_leaks(docs, items, keep, **more))
+    cleaned = decontamination.decontaminated(odd, items)
+    assert cleaned.columns == odd.columns and kept == [c for c in odd.columns if c != "text"]
+    alone = decontamination.decontaminated(odd.select("text"), items)
+    assert alone.columns == ["text"]
+    assert sorted(str(r.text) for r in alone.collect()) == sorted(str(r.text) for r in cleaned.collect())
