@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caselake.operators.joins import lookup_join
+from caselake.operators.joins import fits_broadcast, lookup_join
 from caselake.plans.silver import SILVER_COLUMNS, build_company_lookup, enrich, keep_latest, quality_flags, stage, usable
 from caselake.session import materialise, remove_folder
 
@@ -54,8 +54,21 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return _stored(df.sparkSession, path, df.schema)
 
 
-def _silver_rows(rows: DataFrame, lookup: DataFrame, seeds: dict[str, DataFrame]) -> DataFrame:
-    return quality_flags(enrich(keep_latest(rows.drop("complaint_id_raw")), lookup, seeds)).select(*SILVER_COLUMNS)
+def _silver_rows(rows: DataFrame, lookup: DataFrame, seeds: dict[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
+    latest = latest_of(rows.drop("complaint_id_raw"), ids) if ids is not None else keep_latest(rows.drop("complaint_id_raw"))
+    return quality_flags(enrich(latest, lookup, seeds)).select(*SILVER_COLUMNS)
+
+
+def latest_of(rows: DataFrame, ids: DataFrame, **limits: int) -> DataFrame:
+    """The latest row of each of ``ids`` (distinct, a written table).
+
+    A few ids are broadcast, and only their rows are shuffled. Otherwise copies go before the shuffle, and
+    the ids meet the rows that are left where these already lie. An inner join, as Catalyst would move a
+    semi join below the window, and so shuffle every copy.
+    """
+    if fits_broadcast(ids, **limits):
+        return keep_latest(rows.join(F.broadcast(ids), "complaint_id", "left_semi"))
+    return keep_latest(rows).join(ids, "complaint_id").select(*rows.columns)
 
 
 def reload_batches(bronze: DataFrame, batches: Sequence[str], seeds: dict[str, DataFrame], path: str, lookup_path: str) -> list[str]:
@@ -79,7 +92,7 @@ def reload_batches(bronze: DataFrame, batches: Sequence[str], seeds: dict[str, D
     left = silver.filter(changed).select("complaint_id")
     respelt = lookup_join(silver.select("complaint_id", "company_raw"), renamed, ["company_raw"], "inner").select("complaint_id")
     ids = materialise(held.unionByName(left).unionByName(respelt).distinct(), "affected_ids")
-    fresh = by_month(_silver_rows(rows.join(ids, "complaint_id", "left_semi"), lookup, seeds))
+    fresh = by_month(_silver_rows(rows, lookup, seeds, ids))
     fresh = materialise(fresh, "affected_rows")
     months = silver.join(ids, "complaint_id", "left_semi").select(MONTH).unionByName(fresh.select(MONTH)).distinct()
     months = materialise(months, "affected_months")

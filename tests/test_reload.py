@@ -90,3 +90,17 @@ def test_summary_takes_back_and_adds(spark, tmp_path):
         other = [r for part in now for r in part if r[0] in changed]  # rows of other batches are not needed
         got = R.refresh_summary(table(other or [("none", None, None)]), changed, keys, path)
         assert bag(got.select(*keys, "n")) == bag(table(*now).groupBy(*keys).agg(F.count("*").alias("n")))
+
+
+def test_copies_go_before_the_shuffle_whatever_the_number_of_ids(spark):
+    rng = random.Random(3)
+    rows = S.usable(S.stage(bronze_of(spark, batch(rng, "a", [*range(40), *range(30), *range(9)], datetime(2024, 12, 31)))))
+    rows = R.materialise(rows.drop("complaint_id_raw"), "rows")
+    ids = R.materialise(rows.filter("complaint_id % 3 = 0").select("complaint_id").distinct(), "ids")
+    few, many = R.latest_of(rows, ids), R.latest_of(rows, ids, max_rows=0)
+    assert few.columns == many.columns == rows.columns
+    assert bag(few) == bag(many) == bag(S.keep_latest(rows).join(ids, "complaint_id", "left_semi").select(*rows.columns))
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Window [") and "LeftSemi" not in plan
+    kept = plan.index("WindowGroupLimit") if "WindowGroupLimit" in plan else plan.index("Window [")
+    assert "Join" not in plan[kept:]  # every copy goes before any join
