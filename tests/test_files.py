@@ -322,3 +322,28 @@ def test_a_task_reads_at_most_16_mb_unless_the_session_has_less(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def _open_at_end(line):
+    """Field by field: what starts with a quote is closed by the next single one."""
+    at = 0
+    while True:
+        if line[at : at + 1] == '"':
+            at += 1
+            while line[at : at + 1] != '"' or line[at : at + 2] == '""':
+                if at >= len(line):
+                    return True
+                at += 2 if line[at] == '"' else 1
+        at = line.find(",", at)
+        if at < 0:
+            return False
+        at += 1
+
+
+def test_open_quotes_are_seen_in_one_pass_of_the_line(spark):
+    rng = random.Random(3)
+    lines = ["".join(rng.choice('"",ab\r ') for _ in range(rng.randrange(14))) for _ in range(3000)] + ['"x",' * 5000 + '"y']
+    look = FL._open_after(F.col("value"))
+    assert "regexp_replace" not in str(look)
+    got = spark.createDataFrame([(v,) for v in lines], "value STRING").select("value", look.alias("open")).collect()
+    assert [r["open"] for r in got] == [_open_at_end(r["value"]) for r in got]
