@@ -96,3 +96,11 @@ def test_seeds(spark):
         21, 7, 10, 63, 1,
     ]
     assert load_seed(spark, "product_map").filter("product LIKE 'Credit reporting, credit repair%'").count() == 1
+
+
+def test_only_dates_with_slashes_are_rewritten(spark):
+    texts = ["1996-03-04", "1996/03/04", " 1996/3/4 ", "1996-03/04", "1996/03/04 10:11", "1996-02-30", "/", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING").select(C.safe_date("t").alias("d")).collect()
+    day = date(1996, 3, 4)
+    assert [r["d"] for r in rows] == [day, day, day, None, day, None, None, None, None]
+    assert "contains" in str(C.safe_date("t"))
